@@ -9,8 +9,10 @@ round's values; long documents stop after one or two rounds.
 Banding finds candidates, which are confirmed on the full shingle sets. Documents with equal sets
 collapse to one representative first. Links are found in two steps: every
 member of a bucket is compared with the bucket's smallest member; the components so far are
-joined by union-find; then only pairs of a bucket that still lie in different components are compared. All
-links that can change a component are thus confirmed and no pair within a component is.
+joined by union-find; then only members of a bucket that still lie in different components are compared,
+if four bits of each slot leave the similarity possible. That comparison is exact too: each member
+keeps how its full set differs from the bucket's smallest member, and the difference of two members is
+the symmetric difference of those two small sets. It is a join condition, so only links become rows.
 """
 
 from __future__ import annotations
@@ -65,7 +67,7 @@ def superminhash(values: np.ndarray, first: np.ndarray, slots: int = SLOTS) -> n
     doc = owner(first)
 
     def draw(elements: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
-        x = mix(elements + U64(j + 1) * _STEP)
+        x = mix(elements + U64((j + 1) * int(_STEP) & 0xFFFFFFFFFFFFFFFF))
         return (x >> U64(32)) | U64(j << 32), ((x & U64(0xFFFFFFFF)) * U64(slots - j) >> U64(32)).astype(np.int64) + j
 
     rank, slot = draw(values, 0)
@@ -104,7 +106,24 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return keys
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("bands", pa.list_(pa.int64()))])
+def nibbles(signature: np.ndarray) -> np.ndarray:
+    """Four bits of each slot, sixteen slots to a 64-bit word (texts x words)."""
+    n, slots = signature.shape
+    words_ = -(-slots // 16)
+    low = np.zeros((n, words_ * 16), U64)
+    low[:, :slots] = mix(signature.ravel()).reshape(n, slots) & U64(15)
+    return np.bitwise_or.reduce(low.reshape(n, words_, 16) << (np.arange(16, dtype=U64) * U64(4)), axis=2)
+
+
+def _slots_apart(words_: int) -> str:
+    """SQL for the number of slots whose four bits differ, between x's and y's nibbles."""
+    return " + ".join(f"bit_count((d{i} | shiftright(d{i}, 1) | shiftright(d{i}, 2) | shiftright(d{i}, 3)) & {0x1111111111111111}L)".replace(f"d{i}", f"(x{i} ^ y{i})") for i in range(words_))
+
+
+#: Slots of SLOTS that may differ in the second step: a pair exactly at the threshold has 14 (deviation 3.5) in expectation.
+FAR_APART = 28
+_WORDS = -(-SLOTS // 16)
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("bands", pa.list_(pa.int64())), ("nibbles", pa.list_(pa.int64()))])
 _SETS = pa.schema([("doc_id", pa.int64()), ("items", pa.list_(pa.int64()))])
 
 
@@ -115,8 +134,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for salt in (1, 2):
             total = np.concatenate(([U64(0)], np.cumsum(mix(values ^ U64(salt)))))
             sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-        keys = band_keys(superminhash(values, first))
-        yield batch(_SKETCH, piece.column(0), np.diff(first), *sums, int_lists(keys.ravel(), np.arange(len(keys) + 1) * keys.shape[1]))
+        signature = superminhash(values, first)
+        lists = [int_lists(x.ravel(), np.arange(len(x) + 1) * x.shape[1]) for x in (band_keys(signature), nibbles(signature))]
+        yield batch(_SKETCH, piece.column(0), np.diff(first), *sums, *lists)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,10 +162,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Memory: a task holds about one MB of text and one sketch per document of it.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketch = cut(docs.mapInArrow(_sketch, "doc_id long, n long, a long, b long, bands array<long>"))
+    sketch = cut(docs.mapInArrow(_sketch, "doc_id long, n long, a long, b long, bands array<long>, nibbles array<long>"))
     full = sketch.where("n > 0 and doc_id is not null")
     same = full.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"))
-    reps = full.join(same.select("rep", "n", "a", "b"), ["n", "a", "b"]).where("doc_id = rep").select("rep", "n", "bands").dropDuplicates(["rep"])
+    reps = full.join(same.select("rep", "n", "a", "b"), ["n", "a", "b"]).where("doc_id = rep").select("rep", "n", "bands", "nibbles").dropDuplicates(["rep"])
     postings = reps.select("rep", "n", F.explode("bands").alias("band"))
     shared = postings.groupBy("band").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).where("size > 1").select("band", "pivot")
     members = cut(postings.join(shared, "band"))
@@ -155,13 +175,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = cut(_confirm(stars, sets, percent))
     found = connected_components(links)
     # pairs of a bucket that are still apart
-    known = members.join(found, members.rep == found.node, "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("c"))
+    known = members.join(found, members.rep == found.node, "left").select("band", "pivot", "rep", "n", F.coalesce("component", "rep").alias("c"))
     apart = known.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-    open_ = cut(known.join(apart, "band"))
-    x, y = open_.select("band", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("c").alias("cv")), open_.select("band", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("c").alias("cu"))
-    rest = x.join(y, "band").where((F.col("v") < F.col("u")) & (F.col("cv") != F.col("cu")) & (F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)).select("u", "v").distinct()
-    rest = rest.join(stars, ["u", "v"], "left_anti")
-    more = _confirm(rest, sets, percent)
+    open_ = known.join(apart, "band").select("pivot", "rep", "n", "c").distinct()
+    items = [sets.select(F.col("doc_id").alias(k), F.col("items").alias(f"{k}_items")) for k in ("rep", "pivot")]
+    unlike = F.array_union(F.array_except("rep_items", "pivot_items"), F.array_except("pivot_items", "rep_items"))
+    open_ = open_.join(items[0], "rep").join(items[1], "pivot").select("pivot", "rep", "n", "c", unlike.alias("unlike"))
+    open_ = cut(open_.join(reps.select("rep", "nibbles"), "rep"))
+    x, y = (
+        open_.select("pivot", F.col("rep").alias(end), F.col("n").alias(f"n{end}"), F.col("c").alias(f"c{end}"), F.col("unlike").alias(f"d{end}"), *(F.col("nibbles")[i].alias(f"{side}{i}") for i in range(_WORDS)))
+        for side, end in (("x", "u"), ("y", "v"))
+    )
+    between = "(size(du) + size(dv) - 2 * size(array_intersect(du, dv)))"
+    linked = F.expr(f"v < u and cv <> cu and least(nu, nv) * 100 >= greatest(nu, nv) * {percent} and {_slots_apart(_WORDS)} <= {FAR_APART} and 100 * (nu + nv - {between}) >= {percent} * (nu + nv + {between})")
+    more = x.join(y, (x["pivot"] == y["pivot"]) & linked).select("u", "v")
     final = connected_components(links.unionByName(more))
     class_of = same.join(final, same.rep == final.node, "left").select("n", "a", "b", F.coalesce("component", "rep").alias("component"))
     linked = full.join(class_of, ["n", "a", "b"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, packing, secrets
+from . import near_dedup, packing, pii, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +31,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_near_dedup": op8_near_dedup,
+    "op10_personal_data": op10_personal_data,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_secret_scan": secrets.oracle(),

@@ -193,7 +193,7 @@ def oracle() -> str:
     parts = []
     for i, (name, (pattern, group, least)) in enumerate(RULES.items()):
         p = pattern.replace("'", "''")
-        parts.append(f"""select doc_id, '{name}' as name, {i} as kind, j, g, coalesce(list_sum(list_transform(b[1:j], x -> length(x))), 0) + coalesce(list_sum(list_transform(m[1:j-1], x -> length(x))), 0) as s, length(m[j]) as n from
+        parts.append(f"""select doc_id, '{name}' as name, {i} as kind, j, g, coalesce(list_sum([length(x) for x in b[1:j]]), 0) + coalesce(list_sum([length(x) for x in m[1:j-1]]), 0) as s, length(m[j]) as n from
             (select doc_id, m, b, unnest(range(1, len(m) + 1)) as j, unnest(g) as g from (select doc_id, regexp_extract_all(t, '{p}', 0) as m, string_split_regex(t, '{p}') as b, regexp_extract_all(t, '{p}', {group}) as g from docs)) where length(g) >= {least}""")
     return f"""with docs as (select doc_id, coalesce(text, '') as t from documents),
         hits as ({' union all '.join(parts)}),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dedup, packing, pii, quality, secrets, toxicity
+from . import hamming, near_dedup, packing, pii, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,14 +44,21 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code"))
+    return hamming.top_k(codes, codes.where("id % 50 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_quality": op4_quality,
+    "op5_hamming_top_k": op5_hamming_top_k,
     "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
     "op8_near_dedup": op8_near_dedup,
     "op10_personal_data": op10_personal_data,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op5_hamming_top_k": hamming.ORACLE,
     "op7_secret_scan": secrets.oracle(),
 }

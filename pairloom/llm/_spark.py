@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 CHUNK_BYTES = 1 << 20
@@ -37,7 +38,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: int = 1, size: int = CHUNK_B
         if not batch.num_rows:
             continue
         column = batch.column(text)
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
         ends = np.cumsum(lengths)
         at = 0
         while at < batch.num_rows:

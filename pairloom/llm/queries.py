@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hamming, near_dedup, packing, pii, quality, secrets, toxicity
+from . import decontaminate, hamming, near_dedup, packing, pii, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +49,12 @@ def op5_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.top_k(codes, codes.where("id % 50 = 0"))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op4_quality": op4_quality,
     "op5_hamming_top_k": op5_hamming_top_k,

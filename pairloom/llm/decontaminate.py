@@ -25,9 +25,11 @@ from ._text import U64, flat, words
 
 STRIDE = 16  # a passage is two strides
 RANK = 128
-COSINE = 0.45
+COSINE = 0.3
 #: A passage with few of the item's words can point the same way; it must also reach this share of the item's length.
-REACH = 0.35
+REACH = 0.25
+#: Share of an item passage's known words that a candidate must have; alignment costs a passage up to a quarter of an item's.
+SHARED = 0.75 * 0.4
 #: A word in a larger share of passages is a stop word.
 STOP = 0.002
 #: Share of an item's words in common order that alone shows a copy, and the share that does so together with the answer.
@@ -84,6 +86,16 @@ class Items:
         at = np.minimum(np.searchsorted(self.vocabulary, w), len(self.vocabulary) - 1)
         return at[self.vocabulary[at] == w]
 
+    def shared(self, passages: np.ndarray, mine: np.ndarray, stride: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """How many known words of each stride in `mine` stand in the item passage beside it."""
+        first = np.searchsorted(stride, mine)
+        size = np.searchsorted(stride, mine, "right") - first
+        of = np.repeat(np.arange(len(mine)), size)
+        at = np.arange(len(of)) + np.repeat(first - (np.cumsum(size) - size), size)
+        key = passages[of] * len(self.vocabulary) + word[at]
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.bincount(of[self.keys[place] == key], minlength=len(mine))
+
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, vocabulary numbers) of the known words."""
         maybe = np.flatnonzero(self.bits[(hashes >> U64(44)).astype(np.int64)])
@@ -95,10 +107,11 @@ class Items:
     def finish(self, space: np.ndarray) -> Items:
         """Sets the space, and with it the items' own passages and answer words."""
         self.space, idf = space, self.idf
-        vectors, item = [], []
+        vectors, item, own = [], [], []
         for i, w in enumerate(self.words):
             for a in range(0, max(1, len(w) - STRIDE), STRIDE):
                 known = self.known(w[a : a + 2 * STRIDE])
+                own.append(np.unique(known))
                 vectors.append((space[known] * idf[known, None]).sum(axis=0))
                 item.append(i)
             if not len(self.answers[i]):  # no answer column: the rarest words stand for it
@@ -108,6 +121,8 @@ class Items:
         self.length = np.maximum(np.linalg.norm(z, axis=1), 1e-9)
         self.vectors = (z / self.length[:, None]).T
         self.item_of = np.array(item, np.int64)
+        self.known_words = np.array([len(k) for k in own], np.int64)
+        self.keys = np.concatenate([i * len(self.vocabulary) + k for i, k in enumerate(own)]) if own else np.zeros(0, np.int64)
         return self
 
 
@@ -131,25 +146,23 @@ def _pairs_of(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, np.where(follows[a], a + 1, -1)
 
 
-def _stride_sums(items: Items, hashes: np.ndarray, starts: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Sum of the table's rows over the known words of each stride."""
+def _stride_words(items: Items, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(stride, vocabulary number) of the known words, a word once in a stride, by stride."""
     at, word = items.lookup(hashes)
-    cut_ = np.searchsorted(at, starts)
-    out = np.zeros((len(starts), table.shape[1]), table.dtype)
-    size = np.diff(np.append(cut_, len(at)))
-    some = np.flatnonzero(size)
-    if len(some):
-        out[some] = np.add.reduceat(table[word], cut_[some], axis=0)
+    wide = max(1, len(items.vocabulary))
+    key = np.unique((np.searchsorted(starts, at, "right") - 1) * wide + word)
+    return key // wide, key % wide
+
+
+def _stride_sums(stride: np.ndarray, word: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
+    """Sum of the table's rows over the words of each of n strides."""
+    out = np.zeros((n, table.shape[1]), table.dtype)
+    if len(stride):
+        begin = np.flatnonzero(np.append(True, stride[1:] != stride[:-1]))
+        out[stride[begin]] = np.add.reduceat(table[word], begin, axis=0)
     return out
 
 
-def _passage_vectors(items: Items, hashes, first, table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    start, end, doc = _strides(first)
-    sums = _stride_sums(items, hashes, start, table)
-    a, b = _pairs_of(doc)
-    z = sums[a]
-    z[b >= 0] += sums[b[b >= 0]]
-    return z, a, b, start, end
 
 
 def _count(sent):
@@ -160,8 +173,7 @@ def _count(sent):
             _, _, hashes, first = words(*flat(piece.column(1)))
             start, end, doc = _strides(first)
             a, b = _pairs_of(doc)
-            at, word = items.lookup(hashes)
-            stride = np.searchsorted(start, at, "right") - 1
+            stride, word = _stride_words(items, hashes, start)
             left = np.full(len(start), -1)
             right = np.full(len(start), -1)
             left[a] = np.arange(len(a))  # the passage that begins with this stride
@@ -187,10 +199,9 @@ def _product(sent):
         for piece in chunks(batches):
             _, _, hashes, first = words(*flat(piece.column(1)))
             start, end, doc = _strides(first)
-            at, word = items.lookup(hashes)
-            stride = np.searchsorted(start, at, "right") - 1
+            stride, word = _stride_words(items, hashes, start)
             a, b = _pairs_of(doc)
-            sums = _stride_sums(items, hashes, start, table)
+            sums = _stride_sums(stride, word, len(start), table)
             square = np.bincount(stride, weights=items.idf[word] ** 2, minlength=len(start))
             y = sums[a]
             y[b >= 0] += sums[b[b >= 0]]
@@ -237,13 +248,20 @@ def _retrieve(sent, cosine: float):
         enough = REACH * items.length
         for piece in chunks(batches):
             _, _, hashes, first = words(*flat(piece.column(1)))
-            z, a, b, start, end = _passage_vectors(items, hashes, first, table)
-            doc = np.searchsorted(first, start[a], "right") - 1
+            start, end, of = _strides(first)
+            stride, word = _stride_words(items, hashes, start)
+            sums = _stride_sums(stride, word, len(start), table)
+            a, b = _pairs_of(of)
+            z, doc = sums[a], of[a]
+            z[b >= 0] += sums[b[b >= 0]]
             least = np.maximum(cosine * np.linalg.norm(z, axis=1), 1e-9)
             best: dict[tuple[int, int], tuple] = {}
             for at in range(0, len(a), 4096):
                 near = z[at : at + 4096] @ items.vectors  # how far the passage reaches along the item
-                for p, q in zip(*(x.tolist() for x in np.nonzero((near >= least[at : at + 4096, None]) & (near >= enough)))):
+                p, q = np.nonzero((near >= least[at : at + 4096, None]) & (near >= enough))
+                both = items.shared(q, a[at + p], stride, word) + np.where(b[at + p] >= 0, items.shared(q, b[at + p], stride, word), 0)
+                real = both >= SHARED * items.known_words[q]
+                for p, q in zip(p[real].tolist(), q[real].tolist()):
                     i, row = int(items.item_of[q]), at + p
                     d, n = int(doc[row]), len(known[i])
                     lo = max(int(first[d]), int(start[a[row]]) - n)

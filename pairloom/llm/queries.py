@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hamming, near_dedup, packing, pii, quality, secrets, toxicity
+from . import decontaminate, hamming, katz, near_dedup, packing, pii, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
     "op8_near_dedup": op8_near_dedup,
+    "op9_katz": op9_katz,
     "op10_personal_data": op10_personal_data,
 }
 ORACLE_SQL: dict[str, str] = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hamming, katz, near_dedup, packing, pii, quality, secrets, toxicity
+from . import decontaminate, hamming, katz, near_dedup, packing, pii, quality, secrets, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +57,14 @@ def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality": op4_quality,
     "op5_hamming_top_k": op5_hamming_top_k,
     "op6_toxicity": op6_toxicity,

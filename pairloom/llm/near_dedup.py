@@ -29,7 +29,7 @@ from ._text import U64, flat, mix, owner, words
 from .components import connected_components
 
 SHINGLE = 5
-SLOTS, ROWS = 100, 5
+SLOTS = 100
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -94,7 +94,12 @@ def superminhash(values: np.ndarray, first: np.ndarray, slots: int = SLOTS) -> n
     return signature.reshape(n, slots)
 
 
-def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
+def rows_for(percent: int, slots: int = SLOTS, miss: float = 1e-5) -> int:
+    """The most rows a band may have so that a pair at the threshold is missed by all bands in at most `miss` of cases."""
+    return max([1, *(r for r in range(2, 20) if (1 - (percent / 100) ** r) ** (slots // r) <= miss)])
+
+
+def band_keys(signature: np.ndarray, rows: int = 5) -> np.ndarray:
     """(texts x bands) 64-bit keys; the band's number is part of the key."""
     n, slots = signature.shape
     bands = slots // rows
@@ -120,23 +125,30 @@ def _slots_apart(words_: int) -> str:
     return " + ".join(f"bit_count((d{i} | shiftright(d{i}, 1) | shiftright(d{i}, 2) | shiftright(d{i}, 3)) & {0x1111111111111111}L)".replace(f"d{i}", f"(x{i} ^ y{i})") for i in range(words_))
 
 
-#: Slots of SLOTS that may differ in the second step: a pair exactly at the threshold has 14 (deviation 3.5) in expectation.
-FAR_APART = 28
+def most_apart(percent: int, slots: int = SLOTS) -> int:
+    """Slots whose four bits may differ: what a pair at the threshold has in expectation and four deviations."""
+    differ = (1 - percent / 100) * 15 / 16
+    return int(np.ceil(slots * differ + 4 * np.sqrt(slots * differ * (1 - differ))))
+
+
 _WORDS = -(-SLOTS // 16)
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("bands", pa.list_(pa.int64())), ("nibbles", pa.list_(pa.int64()))])
 _SETS = pa.schema([("doc_id", pa.int64()), ("items", pa.list_(pa.int64()))])
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in chunks(batches):
-        values, first = shingle_sets(*flat(piece.column(1)))
-        sums = []
-        for salt in (1, 2):
-            total = np.concatenate(([U64(0)], np.cumsum(mix(values ^ U64(salt)))))
-            sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-        signature = superminhash(values, first)
-        lists = [int_lists(x.ravel(), np.arange(len(x) + 1) * x.shape[1]) for x in (band_keys(signature), nibbles(signature))]
-        yield batch(_SKETCH, piece.column(0), np.diff(first), *sums, *lists)
+def _sketch(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in chunks(batches):
+            values, first = shingle_sets(*flat(piece.column(1)))
+            sums = []
+            for salt in (1, 2):
+                total = np.concatenate(([U64(0)], np.cumsum(mix(values ^ U64(salt)))))
+                sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
+            signature = superminhash(values, first)
+            lists = [int_lists(x.ravel(), np.arange(len(x) + 1) * x.shape[1]) for x in (band_keys(signature, rows), nibbles(signature))]
+            yield batch(_SKETCH, piece.column(0), np.diff(first), *sums, *lists)
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +174,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Memory: a task holds about one MB of text and one sketch per document of it.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketch = cut(docs.mapInArrow(_sketch, "doc_id long, n long, a long, b long, bands array<long>, nibbles array<long>"))
+    sketch = cut(docs.mapInArrow(_sketch(rows_for(percent)), "doc_id long, n long, a long, b long, bands array<long>, nibbles array<long>"))
     full = sketch.where("n > 0 and doc_id is not null")
     same = full.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"))
     reps = full.join(same.select("rep", "n", "a", "b"), ["n", "a", "b"]).where("doc_id = rep").select("rep", "n", "bands", "nibbles").dropDuplicates(["rep"])
@@ -187,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for side, end in (("x", "u"), ("y", "v"))
     )
     between = "(size(du) + size(dv) - 2 * size(array_intersect(du, dv)))"
-    linked = F.expr(f"v < u and cv <> cu and least(nu, nv) * 100 >= greatest(nu, nv) * {percent} and {_slots_apart(_WORDS)} <= {FAR_APART} and 100 * (nu + nv - {between}) >= {percent} * (nu + nv + {between})")
+    linked = F.expr(f"v < u and cv <> cu and least(nu, nv) * 100 >= greatest(nu, nv) * {percent} and {_slots_apart(_WORDS)} <= {most_apart(percent)} and 100 * (nu + nv - {between}) >= {percent} * (nu + nv + {between})")
     more = x.join(y, (x["pivot"] == y["pivot"]) & linked).select("u", "v")
     final = connected_components(links.unionByName(more))
     class_of = same.join(final, same.rep == final.node, "left").select("n", "a", "b", F.coalesce("component", "rep").alias("component"))

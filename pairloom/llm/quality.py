@@ -154,6 +154,19 @@ def score(docs: DataFrame, model: CumulativeLink, at_least: int = 1, id_col: str
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, expected_grade double, tail_probability double")
 
 
+def keep_good(docs: DataFrame, model: CumulativeLink, at_least: int = 1, keep_at: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose texts reach grade `at_least` with probability keep_at."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in chunks(batches, text=at):
+            tails = sent.value.tails(*features(*flat(piece.column(at))), piece.num_rows)
+            yield piece.filter(pa.array(tails[:, at_least - 1] >= keep_at))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """doc_id, grade of the labels: 0 low quality, 1 good but toxic, 2 good. Rows without a quality label are left out."""
     return labels.where("quality is not null").select("doc_id", F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2).alias("grade"))

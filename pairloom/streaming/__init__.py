@@ -1 +1,34 @@
+"""Streaming forms of the log operators."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.logs import latest
+
+
+def compact_log(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str) -> StreamingQuery:
+    """Keeps the last record of each key in a Parquet table of versions: each batch is merged with the last version.
+
+    A version is written whole before it is named the current one by its number, so a batch that is run again gives the same table.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        old = f"{path}/v{number - 1}"
+        rows = batch.unionByName(spark.read.schema(batch.schema).parquet(old)) if number else batch
+        latest(rows, keys, order).select(batch.columns).write.mode("overwrite").parquet(f"{path}/v{number}")
+
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def month_counts(stream: DataFrame, time: str, months: int = 3, late: str = "10 days") -> DataFrame:
+    """window_start, n: counts per calendar window of `months` months, for events at most `late` behind the watermark.
+
+    Time windows cannot be months, so the window is the truncated start; the watermark bounds the state by the start's day.
+    """
+    month = F.trunc(F.col(time), "month")
+    start = F.add_months(month, -F.pmod(F.month(month) - 1, F.lit(months))).cast("timestamp")
+    return stream.withWatermark(time, late).select(start.alias("window_start")).groupBy("window_start").agg(F.count("*").alias("n"))

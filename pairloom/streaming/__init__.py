@@ -29,6 +29,7 @@ def month_counts(stream: DataFrame, time: str, months: int = 3, late: str = "10
 
     Time windows cannot be months, so the window is the truncated start; the watermark bounds the state by the start's day.
     """
+    stream = stream.withColumn(time, F.col(time).cast("timestamp"))
     month = F.trunc(F.col(time), "month")
     start = F.add_months(month, -F.pmod(F.month(month) - 1, F.lit(months))).cast("timestamp")
     return stream.withWatermark(time, late).select(start.alias("window_start")).groupBy("window_start").agg(F.count("*").alias("n"))

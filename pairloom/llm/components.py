@@ -14,7 +14,7 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of `edges` (u, v); component is the smallest node reachable.
+    """(node, component) of `edges` (u, v); component is the smallest node reachable, and a component's own smallest node is not listed.
 
     Large-star and small-star steps alternate until the edge table no longer changes; each
     step is one map-side combined minimum and one equi-join, so a hub's edges are never

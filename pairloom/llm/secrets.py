@@ -88,6 +88,10 @@ def _walk(nodes, most: int = 64):
                 own = strings | {""} if least == 0 else strings
             elif strings is not None and least == greatest and least <= 8:
                 own = reduce(lambda s, _: {a + b for a in s for b in strings}, range(least), {""})
+            elif least and strings is not None and len(strings) * len(run) <= most:
+                run = {a + b for a in run for b in strings}  # once for certain, then unknown
+                flush()
+                continue
             elif least:
                 query = inside
         if own is not None and len(own) * len(run) <= most:

@@ -1,21 +1,22 @@
 """Ask-and-answer exchange: chunks of documents ask keyed questions of the whole corpus and get the answers back.
 
 A chunk (some MB of whole texts) sends each bucket one packed array of distinct keys; a bucket sees the
-keys of all chunks, and replies to each in the order asked. Texts never move: replies are dealt back by the
-input partition and put beside its chunks (an RDD zip, a narrow dependency). Keys repeated within a chunk are sent once, so a
-key that all documents share costs a bucket one entry for each chunk. RDDs are used because the DataFrame API has no
-narrow join by input partition, and because the asked keys are read twice (statistics, then
-replies) from the same shuffle files. Lost files are made anew from the input by lineage.
+keys of all chunks, and replies to each in the order asked. Texts are dealt once by chunk; replies are dealt by the same
+partitioner, so putting them beside their texts is a narrow union. Keys repeated within a chunk are sent once: a
+key that all documents share costs a bucket one entry for each chunk. RDDs are used because the DataFrame API cannot
+read the same shuffle files twice (statistics first, then replies) or keep texts in place
+across such rounds. Lost files are made anew from the input by lineage.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark import RDD
-from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 16 << 20
 
@@ -31,47 +32,76 @@ class Chunk:
         self.offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
         self.raw = b"".join(raw)
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"raw": zlib.compress(self.raw, 1)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state | {"raw": zlib.decompress(state["raw"])}
+
     @property
     def data(self) -> np.ndarray:
         return np.frombuffer(self.raw, np.uint8)
 
 
-def chunked(docs: DataFrame, size: int = CHUNK_BYTES) -> RDD:
-    """Chunks of docs (doc_id, text), numbered within their partition."""
+def _same(key: int) -> int:
+    return key
+
 
-    def run(part: int, rows: Iterator) -> Iterator[Chunk]:
-        ids, texts, held, number = [], [], 0, 0
-        for doc_id, text in rows:
-            ids.append(doc_id)
-            texts.append(text)
-            held += len(text or "") + 8
-            if held >= size:
+class Texts:
+    """The chunks of docs (doc_id, text), each in a partition of its own as far as `parts` goes."""
+
+    def __init__(self, docs: DataFrame, size: int = CHUNK_BYTES):
+        def run(part: int, rows: Iterator) -> Iterator:
+            ids, texts, held, number = [], [], 0, 0
+            for doc_id, text in rows:
+                ids.append(doc_id)
+                texts.append(text)
+                held += len(text or "") + 8
+                if held >= size:
+                    yield Chunk(part, number, ids, texts)
+                    ids, texts, held, number = [], [], 0, number + 1
+            if ids:
                 yield Chunk(part, number, ids, texts)
-                ids, texts, held, number = [], [], 0, number + 1
-        if ids:
-            yield Chunk(part, number, ids, texts)
 
-    return _one_by_one(docs.rdd.mapPartitionsWithIndex(run))
+        self.bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        rows = docs.rdd
+        self.sources = rows.getNumPartitions()
+        each = max(1, -(-3 * self.bytes // (2 * size * self.sources)))
+        self.parts = self.sources * each
+        key = lambda part, number: part * each + number % each
+        self.dealt = rows.mapPartitionsWithIndex(run).map(lambda c: (key(c.part, c.number), (c.part, c.number, -1, 0, c))).partitionBy(self.parts, _same)
+        self.key = key
 
+    def beside(self, *answers: RDD) -> RDD:
+        """(chunk, [replies of each bucket] for each of the answers)."""
 
-def _one_by_one(rdd: RDD) -> RDD:
-    return rdd._reserialize(BatchedSerializer(CPickleSerializer(), 1))
+        turns = range(len(answers))
 
+        def gather(rows: Iterator) -> Iterator:
+            chunks: dict[tuple, Chunk] = {}
+            replies: dict[tuple, list] = {}
+            for _, (part, number, turn, bucket, value) in rows:
+                if turn < 0:
+                    chunks[part, number] = value
+                else:
+                    replies.setdefault((part, number), [[] for _ in turns])[turn].append((bucket, value))
+            for at in sorted(chunks):
+                lists = replies.pop(at, [[] for _ in turns])
+                yield (chunks.pop(at), *([out for _, out in sorted(x, key=lambda y: y[0])] for x in lists))
 
-def _same(key: int) -> int:
-    return key
+        return (self.dealt.context.union([self.dealt, *answers]) if answers else self.dealt).mapPartitions(gather)
 
 
-def ask(chunks: RDD, question: Callable, buckets: int) -> RDD:
-    """(bucket, (part, number, payload)), one partition for each bucket. question(element) gives a payload for each bucket."""
+def ask(elements: RDD, question: Callable, buckets: int) -> RDD:
+    """(bucket, (part, number, payload)), one partition for each bucket. question(*element) gives a payload for each bucket."""
 
-    def run(elements: Iterator) -> Iterator:
-        for element in elements:
-            chunk = element[0] if isinstance(element, tuple) else element
-            for bucket, payload in enumerate(question(element)):
+    def run(rows: Iterator) -> Iterator:
+        for element in rows:
+            chunk = element[0]
+            for bucket, payload in enumerate(question(*element)):
                 yield bucket, (chunk.part, chunk.number, payload)
 
-    return chunks.mapPartitions(run).partitionBy(buckets, _same)
+    return elements.mapPartitions(run).partitionBy(buckets, _same)
 
 
 def statistics(asked: RDD, of_bucket: Callable) -> list:
@@ -84,29 +114,44 @@ def statistics(asked: RDD, of_bucket: Callable) -> list:
     return asked.mapPartitions(run).collect()
 
 
-def answer(asked: RDD, chunks: RDD, reply: Callable) -> RDD:
-    """(element of chunks, [reply of each bucket]); reply(payloads) gives one reply for each payload."""
-    parts = chunks.getNumPartitions()
+def answer(asked: RDD, texts: Texts, reply: Callable, turn: int = 0) -> RDD:
+    """The replies of all buckets, dealt as the texts are; reply(payloads) gives one reply for each payload.
+
+    turn: the place of these answers among those put beside the texts.
+    """
+    key = texts.key
 
     def run(rows: Iterator) -> Iterator:
         rows = [(bucket, *v) for bucket, v in rows]
         rows.sort(key=lambda r: r[:3])
         if rows:
             for (bucket, part, number, _), out in zip(rows, reply([r[3] for r in rows])):
-                yield part, (number, bucket, out)
-
-    def gather(rows: Iterator) -> Iterator:
-        by: dict[int, list] = {}
-        for _, (number, bucket, out) in rows:
-            by.setdefault(number, []).append((bucket, out))
-        for number in sorted(by):
-            yield [out for _, out in sorted(by[number], key=lambda x: x[0])]
-
-    back = asked.mapPartitions(run).partitionBy(parts, _same).mapPartitions(gather)
-    more = back.getNumPartitions() - parts
-    if more > 0:  # more partitions than asked for: they are empty
-        chunks = _one_by_one(chunks.union(_one_by_one(chunks.context.parallelize([], more))))
-    return _one_by_one(_one_by_one(chunks).zip(_one_by_one(back)))
+                yield key(part, number), (part, number, turn, bucket, out)
+
+    return asked.mapPartitions(run).partitionBy(texts.parts, _same)
+
+
+def planes(x: np.ndarray) -> tuple[int, bytes]:
+    """Counts below 2**32, packed: their bytes plane by plane, where the high ones are mostly zero."""
+    x = np.ascontiguousarray(x, np.uint32)
+    return len(x), zlib.compress(x.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def counts(packed: tuple[int, bytes]) -> np.ndarray:
+    n, raw = packed
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, n).T).view(np.uint32).reshape(n)
+
+
+LOW = np.uint64((1 << 48) - 1)
+
+
+def narrow(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The low 48 bits of hashes in six bytes each."""
+    return (x & np.uint64(0xFFFFFFFF)).astype(np.uint32), (x >> np.uint64(32) & np.uint64(0xFFFF)).astype(np.uint16)
+
+
+def wide(parts: list) -> np.ndarray:
+    return np.concatenate([p[0] for p in parts]).astype(np.uint64) | np.concatenate([p[1] for p in parts]).astype(np.uint64) << np.uint64(32)
 
 
 def by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:

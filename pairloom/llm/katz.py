@@ -16,10 +16,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._exchange import answer, ask, by_bucket, chunked, statistics
+from ._exchange import LOW, Texts, answer, ask, by_bucket, counts, narrow, planes, statistics, wide
 from ._text import U64, crc32_of_ids, mix, owner, words
 
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
+CHUNK_BYTES = 8 << 20
 MOST = 5  # counts above are not discounted
 HOT = 1000  # a history with more than 1 / HOT of all tokens is split
 
@@ -48,30 +49,34 @@ def _vocabulary(chunk):
     return hashes, first, distinct, which[:-1], int(which[-1]), count
 
 
+def _word_buckets(distinct: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    return by_bucket(((distinct >> U64(48)) % U64(buckets)).astype(np.int64), buckets)
+
+
 def ask_words(buckets: int):
     def question(chunk):
         _, _, distinct, _, _, count = _vocabulary(chunk)
-        order, cut = by_bucket((distinct % U64(buckets)).astype(np.int64), buckets)
-        return [(distinct[order[a:b]], count[order[a:b]].astype(np.uint32)) for a, b in zip(cut, cut[1:])]
+        order, cut = _word_buckets(distinct, buckets)
+        return [(narrow(distinct[order[a:b]]), planes(count[order[a:b]])) for a, b in zip(cut, cut[1:])]
 
     return question
 
 
 def _totals(payloads):
-    keys, where = np.unique(np.concatenate([k for k, _ in payloads]), return_inverse=True)
-    return keys, where, np.bincount(where, weights=np.concatenate([c for _, c in payloads]), minlength=len(keys)).astype(np.int64)
+    keys, where = np.unique(wide([k for k, _ in payloads]), return_inverse=True)
+    return keys, where, np.bincount(where, weights=np.concatenate([counts(c) for _, c in payloads]), minlength=len(keys)).astype(np.int64)
 
 
 def word_statistics(payloads) -> tuple[int, int]:
     keys, _, total = _totals(payloads)
-    real = keys != START
+    real = keys != START & LOW
     return int(total[real].sum()), int((total[real] > 0).sum())
 
 
 def reply_words(payloads):
     _, where, total = _totals(payloads)
-    cuts = np.cumsum([len(k) for k, _ in payloads])[:-1]
-    return np.split(total[where].astype(np.uint32), cuts)
+    cuts = np.cumsum([c[0] for _, c in payloads])[:-1]
+    return [planes(x) for x in np.split(total[where], cuts)]
 
 
 class _Pairs:
@@ -79,9 +84,9 @@ class _Pairs:
 
     def __init__(self, chunk, replies, buckets: int, hot: int):
         self.hashes, self.first, distinct, which, start, own = _vocabulary(chunk)
-        order, _ = by_bucket((distinct % U64(buckets)).astype(np.int64), buckets)
+        order, _ = _word_buckets(distinct, buckets)
         self.count = np.empty(len(distinct), np.int64)
-        self.count[order] = np.concatenate(replies)
+        self.count[order] = np.concatenate([counts(r) for r in replies])
         self.which = which
         before = np.empty_like(which)
         before[1:] = which[:-1]
@@ -98,24 +103,23 @@ class _Pairs:
         self.h, self.w, self.times = h[order], w[order], times[order]
         self.distinct = distinct
 
+        # a run: the pairs of one history in one bucket
+        self.run_begins = np.ones(len(self.h), bool)
+        self.run_begins[1:] = self.h[1:] != self.h[:-1]
+        self.run_begins[self.cut[:-1][self.cut[:-1] < len(self.h)]] = True
+        self.run = np.cumsum(self.run_begins) - 1
+
     def payloads(self):
         out = []
         for a, b in zip(self.cut, self.cut[1:]):
-            h = self.h[a:b]
-            begin = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if b > a else np.zeros(0, np.int64)
-            w = self.distinct[self.w[a:b]]
-            out.append(
-                (
-                    self.distinct[h[begin]], np.diff(np.append(begin, b - a)).astype(np.uint32), self.count[h[begin]].astype(np.uint32),
-                    (w & U64(0xFFFFFFFF)).astype(np.uint32), (w >> U64(48)).astype(np.uint16), self.times[a:b].astype(np.uint32), self.count[self.w[a:b]].astype(np.uint32),
-                )
-            )
+            begin = np.flatnonzero(self.run_begins[a:b])
+            h = self.h[a:b][begin]
+            out.append((narrow(self.distinct[h]), planes(np.diff(np.append(begin, b - a))), planes(self.count[h]), narrow(self.distinct[self.w[a:b]]), planes(self.times[a:b]), planes(self.count[self.w[a:b]])))
         return out
 
 
 def ask_pairs(buckets: int, hot: int):
-    def question(element):
-        chunk, replies = element
+    def question(chunk, replies):
         return _Pairs(chunk, replies, buckets, hot).payloads()
 
     return question
@@ -125,17 +129,16 @@ class _Table:
     """A bucket's count table: distinct pairs, and sums for each history."""
 
     def __init__(self, payloads, n: int, v: int):
-        history = np.concatenate([p[0] for p in payloads])
-        per = np.concatenate([p[1] for p in payloads])
-        self.histories, one, self.history_of = np.unique(history, return_index=True, return_inverse=True)
-        self.c_history = np.concatenate([p[2] for p in payloads]).astype(np.int64)[one]
-        h = np.repeat(self.history_of, per)
-        low, high = np.concatenate([p[3] for p in payloads]).astype(U64), np.concatenate([p[4] for p in payloads]).astype(U64)
-        key = mix(mix(self.histories)[h] + (low | high << U64(32)))
+        self.sizes = [(len(p[0][0]), len(p[3][0])) for p in payloads]
+        self.per = np.concatenate([counts(p[1]) for p in payloads]).astype(np.int64)
+        self.histories, one, self.history_of = np.unique(wide([p[0] for p in payloads]), return_index=True, return_inverse=True)
+        self.c_history = np.concatenate([counts(p[2]) for p in payloads]).astype(np.int64)[one]
+        h = np.repeat(self.history_of, self.per)
+        key = mix(mix(self.histories)[h] + wide([p[3] for p in payloads]))
         _, first, self.pair_of = np.unique(key, return_index=True, return_inverse=True)
-        self.total = np.bincount(self.pair_of, weights=np.concatenate([p[5] for p in payloads])).astype(np.int64) if len(key) else np.zeros(0, np.int64)
+        self.total = np.bincount(self.pair_of, weights=np.concatenate([counts(p[4]) for p in payloads])).astype(np.int64) if len(key) else np.zeros(0, np.int64)
         self.h = h[first]
-        c_word = np.concatenate([p[6] for p in payloads])[first]
+        c_word = np.concatenate([counts(p[5]) for p in payloads])[first]
         self.seen = self.total > 0
         self.unigram = np.where(self.seen, (c_word + 0.5) / (n + 0.5 * (v + 1)), 0.0)
 
@@ -184,10 +187,12 @@ def reply_pairs(n: int, v: int, factors: np.ndarray, frequent: dict[int, tuple[f
             if h in frequent:
                 divisor[i], alpha[i] = frequent[h]
         out, at, at_h = [], 0, 0
-        for p in payloads:
-            hs, size = t.history_of[at_h : at_h + len(p[0])], len(p[3])
-            out.append((t.total[t.pair_of[at : at + size]].astype(np.uint32), divisor[hs], alpha[hs]))
-            at, at_h = at + size, at_h + len(p[0])
+        for n_h, size in t.sizes:
+            hs = t.history_of[at_h : at_h + n_h]
+            total = t.total[t.pair_of[at : at + size]]
+            unseen = np.bincount(np.repeat(np.arange(n_h), t.per[at_h : at_h + n_h]), weights=total == 0, minlength=n_h) > 0
+            out.append((planes(total), np.packbits(divisor[hs] > t.c_history[hs]), alpha[hs][unseen]))  # alpha only where it is used
+            at, at_h = at + size, at_h + n_h
         return out
 
     return reply
@@ -195,11 +200,17 @@ def reply_pairs(n: int, v: int, factors: np.ndarray, frequent: dict[int, tuple[f
 
 def score_chunk(element, n: int, v: int, factors: np.ndarray, buckets: int, hot: int):
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of a chunk."""
-    (chunk, words_), answers = element
+    chunk, words_, answers = element
     p = _Pairs(chunk, words_, buckets, hot)
-    total = np.concatenate([a[0] for a in answers]).astype(np.int64)
-    per = np.concatenate([x[1] for x in p.payloads()])
-    divisor, alpha = (np.repeat(np.concatenate([a[i] for a in answers]), per) for i in (1, 2))
+    total = np.concatenate([counts(a[0]) for a in answers]).astype(np.int64)
+    runs = np.add.reduceat(p.run_begins, p.cut[:-1][np.diff(p.cut) > 0], dtype=np.int64) if len(total) else []
+    sizes = np.zeros(len(p.cut) - 1, np.int64)
+    sizes[np.diff(p.cut) > 0] = runs
+    more = np.concatenate([np.unpackbits(a[1], count=int(k)) for a, k in zip(answers, sizes)])[p.run]
+    unseen = np.bincount(p.run, weights=total == 0) > 0
+    alpha = np.ones(len(unseen))
+    alpha[unseen] = np.concatenate([a[2] for a in answers])
+    divisor, alpha = p.count[p.h] + more, alpha[p.run]
     unigram = np.log10((p.count + 0.5) / (n + 0.5 * (v + 1)))
     factor = np.where(total <= MOST, factors[np.minimum(total, MOST)], 1.0)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -219,14 +230,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ignored. With nothing to learn from, every token has the unknown word's probability; an empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    chunks = chunked(docs)
-    buckets = max(8, chunks.getNumPartitions())
-    asked = ask(chunks, ask_words(buckets), buckets)
+    texts = Texts(docs, CHUNK_BYTES)
+    buckets = max(8, 2 * texts.sources)
+    asked = ask(texts.beside(), ask_words(buckets), buckets)
     found = statistics(asked, word_statistics)
     n, v = sum(x for x, _ in found), sum(y for _, y in found)
     hot = max(1000, n // HOT)
-    known = answer(asked, chunks, reply_words)
-    pairs = ask(known, ask_pairs(buckets, hot), buckets)
+    known = answer(asked, texts, reply_words, 0)
+    pairs = ask(texts.beside(known), ask_pairs(buckets, hot), buckets)
     found = statistics(pairs, pair_statistics(n, v, hot))
     factors = good_turing(sum((x[0] for x in found), np.zeros(MOST + 2, np.int64)))
     sums: dict[int, np.ndarray] = {}
@@ -239,5 +250,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         count = float((s[:MOST] * np.arange(1, MOST + 1)).sum() + s[MOST])
         d, a = _left(np.array([kept]), np.array([s[MOST + 1]]), np.array([count]))
         frequent[h] = (float(d[0]), float(a[0]))
-    scored = answer(pairs, known, reply_pairs(n, v, factors, frequent)).flatMap(lambda e: score_chunk(e, n, v, factors, buckets, hot))
+    scored = texts.beside(known, answer(pairs, texts, reply_pairs(n, v, factors, frequent), 1)).flatMap(lambda e: score_chunk(e, n, v, factors, buckets, hot))
     return docs.sparkSession.createDataFrame(scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", verifySchema=False)

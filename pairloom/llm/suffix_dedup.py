@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._exchange import answer, ask, by_bucket, chunked
+from ._exchange import Texts, answer, ask, by_bucket, narrow, wide
 from ._text import U64, mix, powers, prefix_hashes, range_hashes
 
 SIZE, GRAM = 50, 20
@@ -29,7 +29,6 @@ SHIFTS = SIZE - GRAM + 1  # anchors of a string, and strings around an anchor
 LEFT, RIGHT = SIZE - GRAM, SIZE
 WIDE = LEFT + RIGHT
 CHUNK_BYTES, BLOCK_BYTES = 8 << 20, 1 << 20
-_LOW = U64((1 << 48) - 1)
 
 
 def _slide(x: np.ndarray, width: int, least) -> np.ndarray:
@@ -98,21 +97,13 @@ class Anchors:
         return out
 
 
-def _narrow(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (x & U64(0xFFFFFFFF)).astype(np.uint32), (x >> U64(32) & U64(0xFFFF)).astype(np.uint16)
-
-
-def _wide(parts) -> np.ndarray:
-    return np.concatenate([p[0] for p in parts]).astype(U64) | np.concatenate([p[1] for p in parts]).astype(U64) << U64(32)
-
-
 def ask_anchors(buckets: int):
     def question(chunk):
         x = Anchors(chunk, buckets)
         out = []
         for a, b in zip(x.cut, x.cut[1:]):
             one = x.one[a:b]
-            out.append((_narrow(x.hash[one] & _LOW), _narrow(mix(x.around[one]) & _LOW), x.first_id[a:b]))
+            out.append((narrow(x.hash[one]), narrow(mix(x.around[one])), x.first_id[a:b]))
         return out
 
     return question
@@ -120,7 +111,7 @@ def ask_anchors(buckets: int):
 
 def reply_anchors(payloads):
     """For each: 1 if its surroundings stand in a document with a smaller id, plus 2 if the anchor has others."""
-    anchor, around, ids = _wide([p[0] for p in payloads]), _wide([p[1] for p in payloads]), np.concatenate([p[2] for p in payloads])
+    anchor, around, ids = wide([p[0] for p in payloads]), wide([p[1] for p in payloads]), np.concatenate([p[2] for p in payloads])
     order = np.lexsort((around, anchor))
     a, c = anchor[order], around[order]
     new_anchor = np.append(True, a[1:] != a[:-1])[: len(a)]
@@ -136,15 +127,14 @@ def reply_anchors(payloads):
 
 
 def ask_surroundings(buckets: int):
-    def question(element):
-        chunk, replies = element
+    def question(chunk, replies):
         x = Anchors(chunk, buckets)
         reply = np.concatenate(replies) if len(x.one) else np.zeros(0, np.uint8)
         out = []
         for a, b in zip(x.cut, x.cut[1:]):
             pick = np.flatnonzero(reply[a:b] == 2) + a
             one = x.one[pick]
-            out.append((_narrow(x.hash[one] & _LOW), x.left[one].astype(np.uint8), x.right[one].astype(np.uint8), x.surroundings(one), x.first_id[pick]))
+            out.append((narrow(x.hash[one]), x.left[one].astype(np.uint8), x.right[one].astype(np.uint8), x.surroundings(one), x.first_id[pick]))
         return out
 
     return question
@@ -227,7 +217,7 @@ class SuffixSort:
 
 def reply_surroundings(payloads):
     """For each: bit o is set if the string that begins o bytes into the surroundings stands in a document with a smaller id."""
-    anchor = _wide([p[0] for p in payloads])
+    anchor = wide([p[0] for p in payloads])
     left, right = (np.concatenate([p[i] for p in payloads]).astype(np.int64) for i in (1, 2))
     ids = np.concatenate([p[4] for p in payloads])
     out = np.zeros(len(anchor), np.uint32)
@@ -250,7 +240,7 @@ def reply_surroundings(payloads):
 
 def cut_chunk(element, buckets: int):
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of a chunk."""
-    (chunk, replies), masks = element
+    chunk, replies, masks = element
     x = Anchors(chunk, buckets)
     gone = np.zeros(len(x.data) + 1, np.int32)
 
@@ -289,14 +279,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     empty table gives an empty result. Memory: a task holds a chunk of about 8 MB with its anchors, or a bucket's share of all anchors.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    chunks = chunked(docs, CHUNK_BYTES)
-    buckets = max(8, 2 * chunks.getNumPartitions())
-    judged = answer(ask(chunks, ask_anchors(buckets), buckets), chunks, reply_anchors)
-    sorted_ = answer(ask(judged, ask_surroundings(buckets), buckets), judged, reply_surroundings)
+    texts = Texts(docs, CHUNK_BYTES)
+    buckets = max(8, 2 * texts.sources)
+    judged = answer(ask(texts.beside(), ask_anchors(buckets), buckets), texts, reply_anchors, 0)
+    masks = answer(ask(texts.beside(judged), ask_surroundings(buckets), buckets), texts, reply_surroundings, 1)
 
     def rows(element):
         for doc_id, size, removed, spans, kept in cut_chunk(element, buckets):
             yield (doc_id, size, removed, spans, hashlib.sha256(kept).hexdigest(), *((kept,) if with_bytes else ()))
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
-    return docs.sparkSession.createDataFrame(sorted_.flatMap(rows), schema, verifySchema=False)
+    return docs.sparkSession.createDataFrame(texts.beside(judged, masks).flatMap(rows), schema, verifySchema=False)

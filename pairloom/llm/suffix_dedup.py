@@ -52,7 +52,7 @@ class Anchors:
             stop = max(at + 1, int(np.searchsorted(self.offsets, self.offsets[at] + BLOCK_BYTES, "right")) - 1)
             parts.append(self._block(at, min(stop, n), chunk.known))
             at = min(stop, n)
-        self.doc, self.at, self.left, self.right, self.hash, around = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 4 + (np.zeros(0, U64),) * 2
+        self.doc, self.at, self.left, self.right, self.hash, around, self.own = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 4 + (np.zeros(0, U64),) * 3
         ids = chunk.ids[self.doc]
         _, one, self.which = np.unique(self.hash ^ mix(around), return_index=True, return_inverse=True)
         least = np.full(len(one), np.iinfo(np.int64).max)
@@ -66,7 +66,7 @@ class Anchors:
     def _block(self, a: int, b: int, known: np.ndarray):
         base, end = int(self.offsets[a]), int(self.offsets[b])
         data, n = self.data[base:end], end - base
-        nothing = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, U64),) * 2
+        nothing = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, U64),) * 3
         if n < SIZE:
             return nothing
         prefix = prefix_hashes(data)
@@ -86,7 +86,11 @@ class Anchors:
         left = np.minimum(at - starts[doc], LEFT)
         right = np.minimum(ends[doc] - at, RIGHT)
         around = range_hashes(prefix, at - left, at + right) + ((left << 8) + right).astype(U64)
-        return doc + a, at + base, left, right, gram[at], around
+        # bit o: the string that begins o bytes into the surroundings has this anchor as its least
+        own = np.zeros(len(at), U64)
+        for o in range(SHIFTS):
+            own |= (padded[at + o] == gram[at]).astype(U64) << U64(o)
+        return doc + a, at + base, left, right, gram[at], around, own
 
     def surroundings(self, anchor: np.ndarray) -> np.ndarray:
         """(anchors x WIDE) bytes, the anchor at LEFT, zeros outside the text."""
@@ -134,7 +138,7 @@ def ask_surroundings(buckets: int):
         for a, b in zip(x.cut, x.cut[1:]):
             pick = np.flatnonzero(reply[a:b] == 2) + a
             one = x.one[pick]
-            out.append((narrow(x.hash[one]), x.left[one].astype(np.uint8), x.right[one].astype(np.uint8), x.surroundings(one), x.first_id[pick]))
+            out.append((narrow(x.hash[one]), x.left[one].astype(np.uint8), x.right[one].astype(np.uint8), x.surroundings(one), x.first_id[pick], x.own[one].astype(np.uint32)))
         return out
 
     return question
@@ -156,6 +160,16 @@ class SuffixSort:
             low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
         return low
 
+    def paired(self, suffixes: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Whether another suffix of the group has the same hash of `size` bytes; one without is a class of its own and needs no sorting."""
+        key = mix((self.prefix[suffixes + self.size] - self.prefix[suffixes]) * self.inverse[suffixes] + group.astype(U64))
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        out = np.zeros(len(key), bool)
+        out[order[1:][same]] = True
+        out[order[:-1][same]] = True
+        return out
+
     def after(self, a: np.ndarray, b: np.ndarray, ties: bool) -> np.ndarray:
         """Whether suffix a sorts behind suffix b; equal ones as `ties` says."""
         n = self.common(a, b)
@@ -219,7 +233,7 @@ def reply_surroundings(payloads):
     """For each: bit o is set if the string that begins o bytes into the surroundings stands in a document with a smaller id."""
     anchor = wide([p[0] for p in payloads])
     left, right = (np.concatenate([p[i] for p in payloads]).astype(np.int64) for i in (1, 2))
-    ids = np.concatenate([p[4] for p in payloads])
+    ids, own_strings = (np.concatenate([p[i] for p in payloads]) for i in (4, 5))
     out = np.zeros(len(anchor), np.uint32)
     order = np.argsort(anchor, kind="stable")
     if len(order):
@@ -227,7 +241,8 @@ def reply_surroundings(payloads):
         suffixes = SuffixSort(text, SIZE)
         _, group = np.unique(anchor[order], return_inverse=True)
         for o in range(SHIFTS):
-            whole = np.flatnonzero((o >= LEFT - left[order]) & (right[order] >= SIZE - LEFT + o))
+            whole = np.flatnonzero((o >= LEFT - left[order]) & (right[order] >= SIZE - LEFT + o) & (own_strings[order] >> np.uint32(o) & np.uint32(1)).astype(bool))
+            whole = whole[suffixes.paired(whole * WIDE + o, group[whole])]
             if not len(whole):
                 continue
             sorted_, of = suffixes.classes(whole * WIDE + o, group[whole])

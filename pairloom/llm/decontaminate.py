@@ -4,8 +4,10 @@ Documents and benchmark items are cut into passages of 32 words, 16 words apart.
 the benchmark's vocabulary without stop words, with document frequencies from all passages of the corpus. A randomised
 SVD of that matrix (Gaussian sketch, then one power iteration, each a pass over all passages whose partial products
 A'(A W) are summed in two levels) gives a latent space in which each passage is compared with every item by cosine.
-Candidates are verified on the words themselves: the longest common subsequence of the item with
-the text around the passage and, for paraphrases, whether the item's answer stands there.
+A space of bounded rank loses some copies, so an exact lexical route adds every text that can pass the verification: an
+inverted index of each item's rarer words (LEXICAL of its word occurrences) gives the occurrences a text can hold at most.
+Candidates of either route are verified on the words themselves, at each passage: the longest common subsequence of the item
+with the text around the passage and, for paraphrases, whether the item's answer stands there.
 
 The items are the stated query set: they are taken in blocks, so what is sent to the tasks is bounded.
 """
@@ -35,6 +37,11 @@ STOP = 0.002
 #: Share of an item's words in common order that alone shows a copy, and the share that does so together with the answer.
 COPY, PARAPHRASE = 0.6, 0.4
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.8
+#: Share of an item's word occurrences, rarest words first, in the lexical index. A text that lacks more than 1 - COPY of the item's
+#: occurrences (1 - PARAPHRASE with the answer) cannot pass, so over 1 - PARAPHRASE no such text is lost; the rest only selects.
+LEXICAL = 0.75
+#: Cells of texts by items that the lexical route counts at a time.
+CELLS = 1 << 22
 ITEMS = 20000
 SPAN = 256
 
@@ -53,6 +60,39 @@ def lcs_length(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def _find(vocabulary: np.ndarray, bits: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, numbers) of the hashes that stand in the sorted vocabulary; bits has their first 20 bits."""
+    maybe = np.flatnonzero(bits[(hashes >> U64(44)).astype(np.int64)])
+    at = np.searchsorted(vocabulary, hashes[maybe])
+    at[at == len(vocabulary)] = 0
+    right = vocabulary[at] == hashes[maybe]
+    return maybe[right], at[right]
+
+
+class Index:
+    """Inverted index of word lists: for each word the lists that hold it, with its occurrences there."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        word = np.concatenate(lists) if lists else np.zeros(0, U64)
+        self.vocabulary, number = np.unique(word, return_inverse=True)
+        width = max(1, len(lists))
+        key, count = np.unique(number * width + np.repeat(np.arange(len(lists)), [len(x) for x in lists]), return_counts=True)
+        self.item, self.count = key % width, count.astype(float)
+        self.first = np.searchsorted(key // width, np.arange(len(self.vocabulary) + 1))
+        self.bits = np.zeros(1 << 20, bool)
+        self.bits[(self.vocabulary >> U64(44)).astype(np.int64)] = True
+
+    def counts(self, hashes: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+        """For each text (its words from first on) and each of n lists, text by text: the list's occurrences of words of the text."""
+        at, word = _find(self.vocabulary, self.bits, hashes)
+        wide = max(1, len(self.vocabulary))
+        key = np.unique((np.searchsorted(first, at, "right") - 1) * wide + word)
+        doc, word = key // wide, key % wide
+        length = self.first[word + 1] - self.first[word] if len(word) else word
+        take = np.arange(int(length.sum())) + np.repeat(self.first[word] - (np.cumsum(length) - length), length) if len(word) else word
+        return np.bincount(np.repeat(doc, length) * n + self.item[take], weights=self.count[take], minlength=(len(first) - 1) * n)
+
+
 class Items:
     """A block of benchmark items: word hashes, vocabulary and, once known, weights and latent space."""
 
@@ -64,6 +104,8 @@ class Items:
         self.words = [h[first[i] : first[i + 1]] for i in keep]
         self.answers = [ah[afirst[i] : afirst[i + 1]] for i in keep]
         self._know(np.unique(np.concatenate(self.words)) if keep else np.zeros(0, U64))
+        self.all_words, self.all_bits = self.vocabulary, self.bits
+        self.numbers = [np.searchsorted(self.vocabulary, w) for w in self.words]
         self.space: np.ndarray | None = None
 
     def _know(self, vocabulary: np.ndarray) -> None:
@@ -76,12 +118,37 @@ class Items:
         """Sets the weights and forgets stop words: those in more than STOP of all passages, unless they are
         among the rarer half of an item's words (an item that a third of the corpus repeats has only frequent ones)."""
         keep = seen <= STOP * passages
+        self._index(seen)
         for w in self.words:
             known = np.searchsorted(self.vocabulary, np.unique(w))
             keep[known[np.argsort(seen[known], kind="stable")[: max(8, len(known) // 2)]]] = True
         self._know(self.vocabulary[keep])
         self.idf = np.log((1 + passages) / (1 + seen[keep])) + 1
 
+    def _index(self, seen: np.ndarray) -> None:
+        """The lexical index: each item's rarer words; held has an item's occurrences there."""
+        self.size, rare = np.array([len(w) for w in self.words], np.int64), []
+        for w, at in zip(self.words, self.numbers):
+            own, n = np.unique(at, return_counts=True)
+            own = own[np.argsort(seen[own], kind="stable")]
+            n = np.bincount(at)[own]
+            rare.append(w[np.isin(at, own[: np.searchsorted(np.cumsum(n), LEXICAL * len(w)) + 1])])
+        self.held, self.index = np.array([len(w) for w in rare], float), Index(rare)
+
+    def lexical(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, bool]]:
+        """(text, item, whether the answer stands in the text) of every pair that the verification can accept."""
+        n, step = len(self.size), max(1, CELLS // len(self.size))
+        asked = np.array([len(x) or 1 for x in self.answers], float)
+        for low in range(0, len(first) - 1, step):
+            bounds = first[low : low + step + 1]
+            own = hashes[bounds[0] : bounds[-1]]
+            most, answers = (x.counts(own, bounds - bounds[0], n) for x in (self.index, self.answer_index))
+            found = np.flatnonzero(most)
+            i = found % n
+            lacks, answer = self.held[i] - most[found], answers[found] / asked[i] >= ANSWER_SHARE
+            may = lacks <= np.where(answer, 1 - PARAPHRASE, 1 - COPY) * self.size[i] + 1e-6
+            yield from zip((found[may] // n + low).tolist(), i[may].tolist(), answer[may].tolist())
+
     def known(self, w: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocabulary, w), len(self.vocabulary) - 1)
         return at[self.vocabulary[at] == w]
@@ -98,11 +165,7 @@ class Items:
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, vocabulary numbers) of the known words."""
-        maybe = np.flatnonzero(self.bits[(hashes >> U64(44)).astype(np.int64)])
-        at = np.searchsorted(self.vocabulary, hashes[maybe])
-        at[at == len(self.vocabulary)] = 0
-        right = self.vocabulary[at] == hashes[maybe]
-        return maybe[right], at[right]
+        return _find(self.vocabulary, self.bits, hashes)
 
     def finish(self, space: np.ndarray) -> Items:
         """Sets the space, and with it the items' own passages and answer words."""
@@ -110,13 +173,14 @@ class Items:
         vectors, item, own = [], [], []
         for i, w in enumerate(self.words):
             for a in range(0, max(1, len(w) - STRIDE), STRIDE):
-                known = self.known(w[a : a + 2 * STRIDE])
+                known = np.concatenate([np.unique(self.known(w[x : x + STRIDE])) for x in (a, a + STRIDE)])  # a word once in a stride, as in texts
                 own.append(np.unique(known))
                 vectors.append((space[known] * idf[known, None]).sum(axis=0))
                 item.append(i)
             if not len(self.answers[i]):  # no answer column: the rarest words stand for it
                 known = self.known(np.unique(w))
                 self.answers[i] = self.vocabulary[known[np.argsort(-idf[known], kind="stable")[:ANSWER_WORDS]]]
+        self.answer_index = Index(self.answers)
         z = np.array(vectors, np.float32).reshape(len(item), space.shape[1])
         self.length = np.maximum(np.linalg.norm(z, axis=1), 1e-9)
         self.vectors = (z / self.length[:, None]).T
@@ -244,7 +308,8 @@ def _retrieve(sent, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = sent.value
         table = (items.space * items.idf[:, None]).astype(np.float32)
-        known = [w.tolist() for w in items.words]
+        known = [w.tolist() for w in items.numbers]
+        local = np.full(len(items.all_words), -1)
         enough = REACH * items.length
         for piece in chunks(batches):
             _, _, hashes, first = words(*flat(piece.column(1)))
@@ -255,26 +320,48 @@ def _retrieve(sent, cosine: float):
             z, doc = sums[a], of[a]
             z[b >= 0] += sums[b[b >= 0]]
             least = np.maximum(cosine * np.linalg.norm(z, axis=1), 1e-9)
-            best: dict[tuple[int, int], tuple] = {}
+            wanted: dict[tuple[int, int], bool] = {}  # whether the answer may stand in the text
             for at in range(0, len(a), 4096):
                 near = z[at : at + 4096] @ items.vectors  # how far the passage reaches along the item
                 p, q = np.nonzero((near >= least[at : at + 4096, None]) & (near >= enough))
                 both = items.shared(q, a[at + p], stride, word) + np.where(b[at + p] >= 0, items.shared(q, b[at + p], stride, word), 0)
                 real = both >= SHARED * items.known_words[q]
-                for p, q in zip(p[real].tolist(), q[real].tolist()):
-                    i, row = int(items.item_of[q]), at + p
-                    d, n = int(doc[row]), len(known[i])
-                    lo = max(int(first[d]), int(start[a[row]]) - n)
-                    hi = min(int(first[d + 1]), int(end[b[row] if b[row] >= 0 else a[row]]) + n)
-                    around = hashes[lo:hi]
-                    inside = np.isin(around, items.words[i])
-                    if inside.sum() < PARAPHRASE * n:  # no subsequence can be long enough
+                wanted.update(dict.fromkeys(zip(doc[at + p[real]].tolist(), items.item_of[q[real]].tolist()), True))
+            wanted.update(((d, i), answer) for d, i, answer in items.lexical(hashes, first))
+            place, number = _find(items.all_words, items.all_bits, hashes)
+            last = end[np.where(b >= 0, b, a)]
+            best: dict[tuple[int, int], tuple] = {}
+            for d, i in sorted(wanted):
+                n, x, y = len(known[i]), *np.searchsorted(place, first[d : d + 2])
+                own, times = np.unique(items.numbers[i], return_counts=True)
+                local[own] = np.arange(len(own))
+                word_of = local[number[x:y]]
+                local[own] = -1
+                mine = np.flatnonzero(word_of >= 0)
+                before = np.zeros((len(mine) + 1, len(own)), np.int32)
+                before[np.arange(1, len(mine) + 1), word_of[mine]] = 1
+                before = np.cumsum(before, axis=0, dtype=np.int32)
+                rows = np.arange(*np.searchsorted(doc, [d, d + 1]))
+                lo, hi = np.maximum(start[a[rows]] - n, first[d]), np.minimum(last[rows] + n, first[d + 1])
+                left, right = np.searchsorted(place[x:y][mine], lo), np.searchsorted(place[x:y][mine], hi)
+                holds = np.minimum(before[right] - before[left], times).sum(axis=1)  # no subsequence is longer
+                least_share = PARAPHRASE if wanted[d, i] else COPY
+                done = set()
+                for k in np.argsort(-holds, kind="stable").tolist():
+                    if holds[k] / n < least_share or (d, i) in best and holds[k] / n <= best[d, i][1]:
+                        break
+                    if (window := (int(lo[k]), int(hi[k]))) in done:
+                        continue
+                    done.add(window)
+                    answer = wanted[d, i] and bool(np.isin(items.answers[i], hashes[slice(*window)]).mean() >= ANSWER_SHARE)
+                    if holds[k] / n < COPY and not answer:
                         continue
-                    common = lcs_length(known[i], around[inside].tolist()) / n
-                    answer = bool(np.isin(items.answers[i], around).mean() >= ANSWER_SHARE)
-                    if common >= COPY or common >= PARAPHRASE and answer:
-                        found = (float(cosine * near[p, q] / least[row]), common, answer)
-                        best[d, i] = max(best.get((d, i), found), found, key=lambda x: x[1])
+                    common = lcs_length(known[i], number[x:y][mine[left[k] : right[k]]].tolist()) / n
+                    if (common >= COPY or common >= PARAPHRASE and answer) and common > best.get((d, i), (0, 0))[1]:
+                        best[d, i] = 0.0, common, answer
+                if (d, i) in best:
+                    near = (z[rows] @ items.vectors[:, items.item_of == i]).max(axis=1) / np.maximum(np.linalg.norm(z[rows], axis=1), 1e-9)
+                    best[d, i] = float(near.max()), *best[d, i][1:]
             ids = piece.column(0).to_pylist()
             yield batch(_ROW, [ids[d] for d, _ in best], [i for _, i in best], *(list(x) for x in (zip(*best.values()) if best else ((), (), ()))))
 

@@ -268,6 +268,25 @@ def test_contamination(spark, small, docs, texts):
     assert got == {(i, j) for i, t in texts for j, x in held if x in flat(t)}
 
 
+def test_contamination_with_many_items_of_repeated_words(spark):
+    r = random.Random(12)
+    language = [f"{r.choice('bcdfglmn')}{r.choice('aeiou')}{k}" for k in range(1500)]
+    items, texts, planted = [], [], set()
+    for i in range(2000):
+        own = r.sample(language, 3 if i % 2 else 12)
+        items.append((i, [r.choice(own) if r.random() < 0.8 else r.choice(language[:30]) for _ in range(r.randint(30, 60))]))
+    for d in range(300):
+        i, w = items[r.randrange(2000)]
+        copy = w if d % 2 else [w[k] for k in sorted(r.sample(range(len(w)), -(-len(w) * 7 // 10)))]
+        around = [r.choice(language) for _ in range(r.randint(60, 200))]
+        at = r.randrange(len(around))
+        texts.append((d, " ".join([*around[:at], *copy, *around[at:]])))
+        planted.add((d, i))
+    found = decontaminate.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert planted <= {(x.doc_id, x.item_id) for x in found}
+    assert all(x.common == 1 for x in found if x.doc_id % 2 and (x.doc_id, x.item_id) in planted)
+
+
 def test_contamination_by_paraphrase(spark):
     r = random.Random(9)
     make = lambda n: [f"{r.choice('bcdfg')}{r.choice('aeiou')}{r.randrange(400)}" for _ in range(n)]

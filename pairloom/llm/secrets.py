@@ -39,6 +39,9 @@ ADDED = {
     "login": ("[a-z]{2,10}://[A-Za-z0-9._-]+:[A-Za-z0-9._!%-]{6,}@", 0, 0),
 }
 RULES = BASE | ADDED
+#: A private key's end; where a text's key has none, its body ends at a line break (perhaps written as \n) before what is no key line.
+KEY_END = "-----END [A-Z ]{0,20}PRIVATE KEY-----"
+KEY_BREAK = r"(?:[\r\n]|\\[rn])(?![ \t]*(?:[\r\n]|\\[rn]|[A-Za-z0-9-]+: |[A-Za-z0-9+/=]{16,}|[A-Za-z0-9+/=]+[ \t]*(?:[\r\n\\]|$)))"
 
 # A query is True (no condition), a trigram, ("and", [...]) or ("or", [...]).
 
@@ -180,8 +183,20 @@ def report(scanned: DataFrame) -> DataFrame:
     return scanned.select("doc_id", *counts, base.alias("base"), "found").select("doc_id", *(f"n_{n}" for n in BASE), F.sha2(_written("base"), 256).alias("base_sha256"), _written("found").alias("spans"))
 
 
+def _body(end: Column) -> Column:
+    """How many characters behind a private key's header belong to the key: up to its END line or, without one, the key lines."""
+    own = F.substring_index(F.substring(F.col("text"), (end + 1).cast("int"), F.lit(2147483647)), "-----BEGIN ", 1)
+    stop = F.regexp_extract(own, KEY_END, 0)
+    size = lambda pattern: F.char_length(F.split(own, pattern, 2)[0])
+    return F.when(stop != "", size(KEY_END) + F.char_length(stop)).when(own.rlike(r"^[ \t]*(?:[\r\n]|\\[rn])"), size(KEY_BREAK)).otherwise(0).cast("long")
+
+
 def redact(scanned: DataFrame, mark: str = "[secret]") -> Column:
-    """The text with every span (overlapping ones merged) replaced by `mark`."""
+    """The text with every span (overlapping ones merged) replaced by `mark`.
+
+    The scan reports a private key by its header; here its span runs on through the body and the END line.
+    """
+    found = F.transform("found", lambda s: F.when(s["name"] == "pem", s.withField("end", s["end"] + _body(s["end"]))).otherwise(s))
     state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     step = lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(
         F.struct(
@@ -189,7 +204,7 @@ def redact(scanned: DataFrame, mark: str = "[secret]") -> Column:
             F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.concat(F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))).otherwise(F.lit(""))).alias("out"),
         )
     )
-    return F.when(F.size("found") == 0, F.col("text")).otherwise(F.aggregate("found", state, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.lit(2147483647)))))
+    return F.when(F.size("found") == 0, F.col("text")).otherwise(F.aggregate(found, state, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.lit(2147483647)))))
 
 
 def oracle() -> str:

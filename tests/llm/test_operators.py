@@ -188,6 +188,25 @@ def test_secrets_edges(spark, edges, nothing):
     assert secrets.scan(edges).count() == 12 and secrets.report(secrets.scan(nothing)).count() == 0
 
 
+def test_redaction_takes_whole_private_keys(spark):
+    lines = ["MIIEowIBAAKCAQEA" + "aB3/+xYz" * 6, "qRsT9" * 12, "Zm9vYmFyYmF6cXV4MTIzNA=="]
+    begin, end, body = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "\n".join(lines)
+    info = "Proc-Type: 4,ENCRYPTED\n\n"
+    long = "\n".join([lines[0]] * 400)
+    rows = [
+        (1, f"a\n{begin}\n{body}\n{end}\nb", "a\n[secret]\nb"),
+        (2, f"a {begin}\n{info}{body}\n{end} b {begin}\r\n{body}\r\n{end} c", "a [secret] b [secret] c"),
+        (3, f"a {begin}\n{body}\nand so on", "a [secret]\nand so on"),
+        (4, f"a {begin}\n{body}\n{begin}\n{body}\n{end} b", "a [secret]\n[secret] b"),
+        (5, f"{begin}\n{long}\n{end}é", "[secret]é"),
+        (6, f"the line {begin} heads a key", "the line [secret] heads a key"),
+        (7, "{'key': '" + begin + "\\n" + "\\n".join(lines) + "\\nand', 1}", "{'key': '[secret]\\nand', 1}"),
+    ]
+    scanned = secrets.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
+    got = {r.doc_id: r.t for r in scanned.select("doc_id", secrets.redact(scanned).alias("t")).collect()}
+    assert got == {i: t for i, _, t in rows}
+
+
 def test_trigram_queries_are_necessary():
     assert secrets.trigram_query("abc+d") == "abc" or "abc" in secrets.trigrams_of(secrets.trigram_query("abc+d"))
     assert secrets.trigram_query("[0-9a-f]{16,}") is True

@@ -623,13 +623,14 @@ def match_partners_1d(spark, d):
     return M.match_partners(rows.where("sources = 'a'").select("target", "partner", "size"), rows.where("sources = 'b'").select("target", "partner", "size"))
 
 
-def _targets(spark, d, kind):
-    return _sized(spark, d).where(f"type = '{kind}' and combined is not null").groupBy("target").agg(F.percentile("combined", 0.5).alias("size"), F.count("*").alias("n")).where("length(target) = 3")
+def _targets(spark, d, kind, least):
+    return _sized(spark, d).where(f"type = '{kind}' and combined is not null").groupBy("target").agg(F.percentile("combined", 0.5).alias("size"), F.count("*").alias("n")).where(f"n >= {least}")
 
 
 @query()
 def match_global_assignment(spark, d):
-    return M.assign_targets(_targets(spark, d, "negative").where("target like '%1'"), _targets(spark, d, "positive"))
+    """All targets that clear their arm's floor of target_floors: 8 negatives as reference, 40 positives as candidate."""
+    return M.assign_targets(_targets(spark, d, "negative", 8), _targets(spark, d, "positive", 40))
 
 
 @query("select target, type, count(*) as n_pairs, round(median(combined), 4) as median_length from sized group by target, type", [*V.ASSEMBLED, LENGTHS, SIZED])

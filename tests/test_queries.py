@@ -24,3 +24,12 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_global_assignment_sees_all_targets(spark, small, con):
+    con.execute("create or replace temp view sized_ as with " + ", ".join([*catalogue.V.ASSEMBLED, catalogue.LENGTHS, catalogue.SIZED]) + " select * from sized where combined is not null")
+    side = lambda kind, least: {t for (t,) in con.execute(f"select target from sized_ where type = '{kind}' group by target having count(*) >= {least}").fetchall()}
+    reference, candidates = side("negative", 8), side("positive", 40)
+    got = catalogue.QUERIES["match_global_assignment"](spark, small).collect()
+    assert {r.reference for r in got if r.mode == "paired"} == reference & candidates
+    assert len(got) == len(reference & candidates) + min(len(reference - candidates), len(candidates - reference)) > 9

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import name_key, surface_forms, tokens
@@ -42,11 +42,20 @@ def grams(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     return words.select(key, "position", F.explode(F.filter(F.array("g.one", "g.two"), lambda x: x.isNotNull())).alias("term"))
 
 
+def _fold(c: str) -> Column:
+    return F.lower(F.regexp_replace(F.trim(c), r"\s+", " "))
+
+
 def grounded(excerpts: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     """Adds grounded: whether the folded excerpt stands in the folded text of the same key."""
-    fold = lambda c: F.lower(F.regexp_replace(F.trim(c), r"\s+", " "))
-    texts = docs.select(key, fold("text").alias("_folded"))
-    return excerpts.join(texts, key, "left").withColumn("grounded", F.coalesce(F.contains("_folded", fold("excerpt")), F.lit(False))).drop("_folded")
+    texts = docs.select(key, _fold("text").alias("_folded"))
+    return excerpts.join(texts, key, "left").withColumn("grounded", F.coalesce(F.contains("_folded", _fold("excerpt")), F.lit(False))).drop("_folded")
+
+
+def containing(docs: DataFrame, excerpts: DataFrame, key: str, item: str) -> DataFrame:
+    """key, item: every document with every excerpt that stands in its folded text; the excerpts, the query set, are sent to all tasks."""
+    texts, items = docs.select(key, _fold("text").alias("_folded")), excerpts.select(item, _fold("excerpt").alias("_excerpt"))
+    return texts.join(F.broadcast(items), F.contains("_folded", "_excerpt")).select(key, item)
 
 
 def name_index(names: DataFrame) -> DataFrame:

@@ -576,6 +576,11 @@ def text_grounded(spark, d):
     return X.grounded(claims, docs, "doc_id").select("doc_id", "item_id", "grounded")
 
 
+@query("select d.doc_id, b.item_id from (select doc_id, lower(regexp_replace(trim(text), '[ \\t\\n\\v\\f\\r]+', ' ', 'g')) as text from documents) d join (select item_id, lower(regexp_replace(trim(text), '[ \\t\\n\\v\\f\\r]+', ' ', 'g')) as text from benchmark) b on contains(d.text, b.text)")
+def text_grounded_all(spark, d):
+    return X.containing(V.table(spark, d, "documents").select("doc_id", "text"), V.table(spark, d, "benchmark").select("item_id", F.col("text").alias("excerpt")), "doc_id", "item_id")
+
+
 @query("select p_partkey, regexp_replace(lower(trim(p_name)), '[^a-z0-9]', '', 'g') as name_key from part")
 def text_name_normalise(spark, d):
     return V.table(spark, d, "part").select("p_partkey", E.name_key("p_name").alias("name_key"))

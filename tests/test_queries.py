@@ -33,3 +33,9 @@ def test_global_assignment_sees_all_targets(spark, small, con):
     got = catalogue.QUERIES["match_global_assignment"](spark, small).collect()
     assert {r.reference for r in got if r.mode == "paired"} == reference & candidates
     assert len(got) == len(reference & candidates) + min(len(reference - candidates), len(candidates - reference)) > 9
+
+
+def test_grounded_pairs_need_no_common_residue(spark, small):
+    got = {(r.doc_id, r.item_id) for r in catalogue.QUERIES["text_grounded_all"](spark, small).collect()}
+    kept = {(r.doc_id, r.item_id) for r in catalogue.QUERIES["text_grounded"](spark, small).where("grounded").collect()}
+    assert kept < got and any(i % 40 != j % 40 for i, j in got)

@@ -200,9 +200,9 @@ def leak_homolog_a(spark, d):
     return L.cluster_flag(V.pair_set(spark, d, "pos_a"), rows, L.cluster_min_date(rows), EARLY, False)
 
 
-def _homologs(spark, d):
+def _homologs(spark, d, members="acc_a like '%1%'"):
     rows = _clustered(spark, d)
-    return L.cluster_flag(V.pair_set(spark, d, "pos_b"), rows.where("acc_a like '%1%'"), L.cluster_min_date(rows), EARLY, None)
+    return L.cluster_flag(V.pair_set(spark, d, "pos_b"), rows.where(members), L.cluster_min_date(rows), EARLY, None)
 
 
 HFLAG_B = QUALITY.replace("from clustered)", "from clustered where acc_a like '%1%')")
@@ -216,8 +216,8 @@ def leak_homolog_b(spark, d):
 FLAGS = [V.IFACE, V.pairs_sql("pos_b"), V.DATES, SOURCES, DATE_FLAG, MEMBERS, CLUSTERED, FIRST_DATES, HFLAG_B, "flagged as (select acc_a, acc_b, date_leaked, homolog_leaked, case when length(acc_b) % 2 = 0 then 'positive' else 'negative' end as type from pos_b left join dflag using (acc_a, acc_b) left join hflag using (acc_a, acc_b))"]
 
 
-def _flagged(spark, d):
-    return _dated(spark, d).join(_homologs(spark, d), ["acc_a", "acc_b"]).withColumn("type", F.expr("if(length(acc_b) % 2 = 0, 'positive', 'negative')"))
+def _flagged(spark, d, members="acc_a like '%1%'"):
+    return _dated(spark, d).join(_homologs(spark, d, members), ["acc_a", "acc_b"]).withColumn("type", F.expr("if(length(acc_b) % 2 = 0, 'positive', 'negative')"))
 
 
 @query("select acc_a, acc_b, case when coalesce(date_leaked, false) or coalesce(homolog_leaked, false) then true when date_leaked is null and homolog_leaked is null then null else false end as leaked from flagged", FLAGS)
@@ -235,6 +235,30 @@ def leak_leaked_masks(spark, d):
     return _flagged(spark, d).select("acc_a", "acc_b", "type", L.leaked().alias("leaked"))
 
 
+#: The same flags with all cluster members; the queries above keep the fixed selection of their SQL.
+FLAGS_ALL = [QUALITY if x is HFLAG_B else x for x in FLAGS]
+
+
+@query("select acc_a, acc_b, homolog_leaked from flagged", FLAGS_ALL)
+def leak_homolog_b_all(spark, d):
+    return _homologs(spark, d, "true")
+
+
+@query("select " + ORACLE_SQL["leak_combine"].rpartition(") select ")[2], FLAGS_ALL)
+def leak_combine_all(spark, d):
+    return _flagged(spark, d, "true").select("acc_a", "acc_b", L.any_true("date_leaked", "homolog_leaked").alias("leaked"))
+
+
+@query("select " + ORACLE_SQL["leak_clean_masks"].rpartition(") select ")[2], FLAGS_ALL)
+def leak_clean_masks_all(spark, d):
+    return _flagged(spark, d, "true").select("acc_a", "acc_b", "type", L.clean().alias("clean"))
+
+
+@query("select " + ORACLE_SQL["leak_leaked_masks"].rpartition(") select ")[2], FLAGS_ALL)
+def leak_leaked_masks_all(spark, d):
+    return _flagged(spark, d, "true").select("acc_a", "acc_b", "type", L.leaked().alias("leaked"))
+
+
 CO = f"co as (select n.acc_a, n.acc_b, count(*) as n_entries, min(a.entry) as first_entry from neg n join (select distinct acc, entry from chains) a on a.acc = n.acc_a join (select distinct acc, entry from chains) b on b.acc = n.acc_b and b.entry = a.entry join dates t on t.entry = a.entry where t.release_date <= timestamp '{V.CUTOFF}' group by n.acc_a, n.acc_b)"
 
 

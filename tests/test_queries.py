@@ -39,3 +39,9 @@ def test_grounded_pairs_need_no_common_residue(spark, small):
     got = {(r.doc_id, r.item_id) for r in catalogue.QUERIES["text_grounded_all"](spark, small).collect()}
     kept = {(r.doc_id, r.item_id) for r in catalogue.QUERIES["text_grounded"](spark, small).where("grounded").collect()}
     assert kept < got and any(i % 40 != j % 40 for i, j in got)
+
+
+def test_homolog_flags_of_all_members(spark, small):
+    got = catalogue.QUERIES["leak_homolog_b_all"](spark, small)
+    kept = catalogue.QUERIES["leak_homolog_b"](spark, small)
+    assert got.where("homolog_leaked is null and acc_a not like '%1%'").count() < kept.where("homolog_leaked is null and acc_a not like '%1%'").count()

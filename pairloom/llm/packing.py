@@ -3,7 +3,9 @@
 Overlong documents are first cut into full windows. The remainders of a task are
 taken in decreasing length; a segment tree over remaining capacities finds the tightest
 open window that still takes one, in log2(window) steps. Tasks pack on their own, so there is no
-shuffle; a task keeps five numbers for each of its documents and never their tokens.
+shuffle. A task tokenises some MB of text at a time and emits full windows at once; of a remainder it keeps five numbers and,
+where the ids are part of the result, the ids in one flat buffer. What is kept is packed and emitted whenever it
+reaches HELD_IDS ids or HELD_ROWS remainders, so a task's memory does not grow with its partition.
 
 Tokens come from a byte-level BPE. Splitting a text before a single space that follows a visible
 character never changes its tokens, so a chunk's distinct pieces are tokenised once and its ids gathered.
@@ -27,7 +29,9 @@ from ._text import flat, prefix_hashes, range_hashes
 
 WINDOW = 1024
 END_ID = 0
-_CHUNK = 8 << 20
+_CHUNK = 2 << 20
+#: Remainders that are packed together at most, and ids of theirs; ids in a record batch.
+HELD_ROWS, HELD_IDS, BATCH_IDS = 1 << 18, 8 << 20, 1 << 18
 #: The pre-tokenizer's published pattern (fixed value).
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -182,6 +186,57 @@ def token_ids(data: np.ndarray, offsets: np.ndarray, path: str, end_id: int = EN
     return out, first
 
 
+def _rows_at(columns: list, rows: np.ndarray) -> list:
+    return [c.take(pa.array(rows)) if isinstance(c, pa.Array) else c[rows] for c in columns]
+
+
+def _batches(schema: pa.Schema, columns: list, ids: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Record batches of the rows; where the schema has ids, row i has ids[at[i] : at[i] + length]."""
+    length, low = columns[2], 0
+    ends = np.cumsum(length)
+    while low < len(length):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + BATCH_IDS, "right")))
+        part = [c.slice(low, high - low) if isinstance(c, pa.Array) else c[low:high] for c in columns]
+        if len(schema) > len(columns):
+            own = ids[_spread(at[low:high], length[low:high])].view(np.int32)
+            part.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length[low:high]))), pa.int32()), pa.array(own)))
+        yield batch(schema, *part)
+        low = high
+
+
+class _Remainders:
+    """What is left of documents behind their full windows: flat columns, and one buffer of ids where they are asked for."""
+
+    def __init__(self, with_ids: bool):
+        self.with_ids = with_ids
+        self.clear()
+
+    def clear(self) -> None:
+        self.rows, self.ids, self.n, self.n_ids = [], [], 0, 0
+
+    def add(self, rows: list, ids: np.ndarray, at: np.ndarray) -> None:
+        self.rows.append(rows)
+        self.n += len(at)
+        self.n_ids += int(rows[2].sum())
+        if self.with_ids:
+            self.ids.append(ids[_spread(at, rows[2])])
+
+    def full(self) -> bool:
+        return self.n >= HELD_ROWS or self.with_ids and self.n_ids >= HELD_IDS
+
+    def packed(self, window: int, first: int) -> tuple[int, list, np.ndarray, np.ndarray]:
+        """(windows made, columns in order of the windows, ids, where each row's ids begin); nothing is held then."""
+        if not self.n:
+            return 0, [pa.array([], pa.int64()), *[np.zeros(0, np.int64)] * 6], np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        rows = [pa.concat_arrays(x) if isinstance(x[0], pa.Array) else np.concatenate(x) for x in zip(*self.rows)]
+        ids = np.concatenate(self.ids) if self.with_ids else np.zeros(0, np.uint32)
+        self.clear()
+        which, offset = best_fit_decreasing(rows[2], window)
+        order = np.lexsort((offset, which))
+        at = (np.cumsum(rows[2]) - rows[2])[order]
+        return int(which.max()) + 1, [*_rows_at(rows, order), first + which[order], offset[order]], ids, at
+
+
 _ROW = pa.schema([(k, pa.int64()) for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
@@ -196,36 +251,30 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     schema = pa.schema([*_ROW, ("ids", pa.list_(pa.int32()))]) if with_ids else _ROW
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 40
-        made, left, left_ids = 0, [], []
+        base, made = TaskContext.get().partitionId() << 40, 0
+        left = _Remainders(with_ids)
         for piece in chunks(batches, size=_CHUNK):
             ids, first = token_ids(*flat(piece.column(1)), tokenizer, end_id)
-            raw, sizes = ids.astype("<u4").tobytes(), np.diff(first)
+            sizes = np.diff(first)
             pieces = -(-sizes // window)
             doc = np.repeat(np.arange(len(sizes)), pieces)
             start = _spread(np.zeros(len(sizes), np.int64), pieces) * window
             length = np.minimum(window, sizes[doc] - start)
-            a = first[doc] + start
-            crc = np.fromiter((zlib.crc32(raw[4 * x : 4 * (x + y)]) for x, y in zip(a.tolist(), length.tolist())), np.int64, len(doc))
-            rows = [piece.column(0).take(pa.array(doc)), start, length, crc, sizes[doc]]
+            at = first[doc] + start
+            raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+            crc = np.fromiter((zlib.crc32(raw[4 * x : 4 * (x + y)]) for x, y in zip(at.tolist(), length.tolist())), np.int64, len(doc))
             full = length == window
             n = int(full.sum())
-            take = lambda x, m: x.filter(pa.array(m)) if isinstance(x, pa.Array) else x[m]
-            parts = lambda m: [pa.array(ids[x : x + y], pa.int32()) for x, y in zip(a[m].tolist(), length[m].tolist())]
-            if n:
-                more = [pa.array([x.to_pylist() for x in parts(full)], pa.list_(pa.int32()))] if with_ids else []
-                yield batch(schema, *(take(x, full) for x in rows), base + made + np.arange(n), np.zeros(n, np.int64), *more)
-                made += n
-            if n < len(doc):
-                left.append([take(x, ~full) for x in rows])
-                if with_ids:
-                    left_ids += [x.to_pylist() for x in parts(~full)]
-        if left:
-            rows = [pa.concat_arrays(x) if isinstance(x[0], pa.Array) else np.concatenate(x) for x in zip(*left)]
-            where, offset = best_fit_decreasing(rows[2], window)
-            order = np.lexsort((offset, where))
-            more = [pa.array([left_ids[i] for i in order], pa.list_(pa.int32()))] if with_ids else []
-            yield batch(schema, *(x.take(pa.array(order)) if isinstance(x, pa.Array) else x[order] for x in rows), base + made + where[order], offset[order], *more)
+            rows = [piece.column(0).take(pa.array(doc)), start, length, crc, sizes[doc]]
+            yield from _batches(schema, [*_rows_at(rows, np.flatnonzero(full)), base + made + np.arange(n), np.zeros(n, np.int64)], ids, at[full])
+            made += n
+            left.add(_rows_at(rows, np.flatnonzero(~full)), ids, at[~full])
+            if left.full():
+                more, columns, held, where = left.packed(window, base + made)
+                made += more
+                yield from _batches(schema, columns, held, where)
+        more, columns, held, where = left.packed(window, base + made)
+        yield from _batches(schema, columns, held, where)
 
     out = ", ".join(f"`{f.name}` long" for f in _ROW) + (", ids array<int>" if with_ids else "")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, out)

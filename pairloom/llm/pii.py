@@ -29,7 +29,8 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("spelled_email", "national_id", "account", "local_phone", "birth_date")
 _LOCAL = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match can only begin where a run of digits does, and a run is never given back: linear in the text.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -79,8 +80,9 @@ def _at_most_255(part: str) -> bool:
     return len(part) < 3 or len(part) == 3 and part <= "255"
 
 
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]{2,63}){1,4}")
-_SIGNS = ("[at]", "(at)", " dot ")
+#: A spelled-out address around its sign: the local part is read backwards from the sign, the rest forwards.
+_SIGN = re.compile(r"\[at\]|\(at\)| at ")
+_DOMAIN_SPELLED = re.compile(r" ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]{2,63}){1,4}")
 _GENERATORS = {
     "national_id": re.compile(r"(?<![0-9])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9])|(?<![0-9])[0-9]{9,11}(?![0-9])"),
     "account": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
@@ -97,11 +99,25 @@ _CONTEXT = {
 }
 
 
+def spelled_emails(text: str) -> list[tuple[int, int]]:
+    """Local part of at most 64 characters, a sign for @, and names with a dot (spelled or not) between them."""
+    out, floor = [], 0
+    for sign in _SIGN.finditer(text):
+        end = sign.start()
+        if end > floor and text[end - 1] == " ":
+            end -= 1
+        start = end
+        while start > max(floor, end - 64) and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < end and (m := _DOMAIN_SPELLED.match(text, sign.end())):
+            out.append((start, m.end()))
+            floor = m.end()
+    return out
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """Spans that may be personal data; they may overlap one another and base spans."""
-    out = []
-    if any(s in text for s in _SIGNS):
-        out += [("spelled_email", *m.span()) for m in _SPELLED.finditer(text)]
+    out = [("spelled_email", a, b) for a, b in spelled_emails(text)]
     if _DIGIT.search(text):
         for kind, pattern in _GENERATORS.items():
             out += [(kind, *m.span()) for m in pattern.finditer(text)]
@@ -149,8 +165,8 @@ def training_rows(size: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray, lis
         kind, good = r.choice(ADDED), r.random() < 0.5
         context = own[kind] if good and r.random() < 0.9 else "other" if r.random() < 0.6 else ""
         if kind == "spelled_email":
-            a, b = r.choice(((" [at] ", " [dot] "), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "(dot)")))
-            span = f"{w()}.{w()}{a}{w()}{b}{r.choice(('com', 'org', 'net', 'de'))}" if good else f"{w()} at {w()} dot {w()}"
+            a, b = r.choice(((" [at] ", " [dot] "), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "(dot)"), (" at ", "."), ("(at)", ".")))
+            span = f"{w()}.{w()}{a}{w()}{b}{r.choice(('com', 'org', 'net', 'de'))}" if good else r.choice((f"{w()} at {w()} dot {w()}", f"{w()} at {w()}.{w().title()}", f"{w()} at {d(2)}.{d(2)}"))
         elif kind == "national_id":
             span = f"{r.randint(100, 665)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}" if good else r.choice((d(9), d(10), d(11), f"{d(3)} {d(2)} {d(4)}"))
         elif kind == "account":

@@ -3,8 +3,12 @@
 Each rule's regular expression is compiled to a Boolean query over lower-case trigrams that any match must
 contain. The index keeps, for the rules' trigrams, postings in blocks of 65,536 ids;
 a block's lists are intersected and united by the query, and only candidate texts meet the regular expression.
-Rules without mandatory trigrams (hex runs) scan every text. Positions are code points: the
-lengths of what `split` leaves between matches and of the matches add up.
+Rules without mandatory trigrams (hex runs) scan every text. Positions are code points: the running sums of the
+lengths of what `split` leaves between matches and of the matches. Sums and maxima run by doubling, so a text's cost
+grows with its length and, but for a logarithm, with its matches.
+
+The candidates are a narrow table (an id and a bit for each rule). It is counted: up to FEW rows are sent to the scan of the
+texts, which then are not shuffled; beyond that the texts are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +20,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import cut
+
 BLOCK = 1 << 16
+FEW = 1 << 19
+#: Code points of a piece of a text that is put together anew.
+PIECE = 4096
 
 
 def either_case(word: str) -> str:
@@ -125,30 +134,39 @@ def _evaluate(query, lists: str = "lists") -> Column:
 
 
 def candidates(docs: DataFrame, rules: dict = RULES) -> DataFrame:
-    """doc_id, rules: the rules whose trigram query a text satisfies, out of those that have one."""
+    """doc_id, rules: the rules whose trigram query a text satisfies, out of those that have one, as bits by their place in `rules`."""
     queries = {name: q for name, (pattern, _, _) in rules.items() if (q := trigram_query(pattern)) is not True}
     wanted = sorted(set().union(*map(trigrams_of, queries.values())))
     low = docs.where("doc_id is not null and text is not null").select("doc_id", F.lower("text").alias("low"))
     present = low.select("doc_id", F.explode(F.filter(F.array(*map(F.lit, wanted)), lambda t: F.contains(F.col("low"), t))).alias("trigram"))
     postings = present.groupBy(F.floor(F.col("doc_id") / BLOCK).alias("block"), "trigram").agg(F.collect_set("doc_id").alias("ids"))
     blocks = postings.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("trigram", "ids"))).alias("lists"))
+    bits = F.create_map(*(F.lit(x) for i, name in enumerate(rules) for x in (name, 1 << i))).cast("map<string, bigint>")
     hits = blocks.select(F.explode(F.array(*(F.struct(F.lit(name).alias("rule"), _evaluate(q).alias("ids")) for name, q in queries.items()))).alias("hit"))
-    return hits.select("hit.rule", F.explode("hit.ids").alias("doc_id")).groupBy("doc_id").agg(F.collect_set("rule").alias("rules"))
+    return hits.select("hit.rule", F.explode("hit.ids").alias("doc_id")).groupBy("doc_id").agg(F.bit_or(F.element_at(bits, F.col("rule"))).alias("rules"))
 
 
-def _found(rule: str, order: int, pieces: str, matches: str, counted: str | None, least: int) -> Column:
-    """Array of (start, kind, end, name) of one rule's matches."""
-    sized = f"char_length({counted}[i])" if counted else f"char_length({matches}[i])"
+def running(values: str, step: str) -> Column:
+    """The array of `step` (an SQL expression of a, b that is associative) over all values up to each, in log2(size) passes."""
     return F.expr(
-        f"""reduce(sequence(0, size({matches}) - 1),
-            named_struct('at', 0L, 'out', cast(array() as array<struct<start: bigint, kind: int, end: bigint, name: string>>)),
-            (acc, i) -> named_struct('at', acc.at + char_length({pieces}[i]) + char_length({matches}[i]),
-                'out', if({sized} < {least}, acc.out, concat(acc.out, array(named_struct('start', acc.at + char_length({pieces}[i]), 'kind', {order},
-                    'end', acc.at + char_length({pieces}[i]) + char_length({matches}[i]), 'name', '{rule}'))))),
-            acc -> acc.out)"""
+        f"""aggregate(sequence(0, 30), {values}, (p, k) -> if(size(p) > shiftleft(1, k),
+            concat(slice(p, 1, shiftleft(1, k)), zip_with(slice(p, 1, size(p) - shiftleft(1, k)), slice(p, shiftleft(1, k) + 1, size(p) - shiftleft(1, k)), (a, b) -> {step})), p))"""
     )
 
 
+SPANS = "array<struct<start: bigint, kind: int, end: bigint, name: string>>"
+
+
+def _found(rule: str, order: int, ends: str, matches: str, counted: str, least: int) -> Column:
+    """Array of (start, kind, end, name) of one rule's matches; `ends` holds where each ends.
+
+    Columns are arguments of the array functions, never captured in their lambdas, where the optimizer could put their making.
+    """
+    sized = f"zip_with({matches}, {counted}, (m, c) -> named_struct('n', char_length(m), 'c', char_length(c)))"
+    spans = f"zip_with({ends}, {sized}, (e, x) -> named_struct('start', e - x.n, 'kind', {order}, 'end', e, 'name', '{rule}', 'c', x.c))"
+    return F.expr(f"transform(filter({spans}, s -> s.c >= {least}), s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end, 'name', s.name))")
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: dict = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, the columns in `keep`, and found: array of (start, kind, end, name) sorted by start, then rule order.
 
@@ -157,19 +175,27 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *(F.col(c).alias(f"kept_{c}") for c in keep))
     indexed = [n for n, (p, _, _) in rules.items() if trigram_query(p) is not True]
-    out = docs.join(candidates(docs, rules).withColumnRenamed("rules", "rules_"), "doc_id", "left")
-    wanted = {n: F.coalesce(F.array_contains("rules_", n), F.lit(False)) | F.col("doc_id").isNull() if n in indexed else F.lit(True) for n in rules}
+    near = cut(candidates(docs, rules).withColumnRenamed("rules", "rules_"))
+    out = docs.join(F.broadcast(near) if near.count() <= FEW else near, "doc_id", "left")
+    wanted = {n: F.coalesce(F.col("rules_").bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(False)) | F.col("doc_id").isNull() if n in indexed else F.lit(True) for i, n in enumerate(rules)}
     nothing = F.array().cast("array<string>")
+    kept = [F.col(f"kept_{c}") for c in keep]
     cols = []
-    for n, (pattern, group, least) in rules.items():
+    for n, (pattern, group, _) in rules.items():
         hit = wanted[n] & F.col("text").rlike(pattern)
         cols += [F.when(hit, F.split("text", pattern, -1)).otherwise(nothing).alias(f"between_{n}"), F.when(hit, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(nothing).alias(f"match_{n}")]
         if group:
             cols.append(F.when(hit, F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).otherwise(nothing).alias(f"group_{n}"))
-    out = out.select("doc_id", "text", *(F.col(f"kept_{c}") for c in keep), *cols)
-    none = F.expr("cast(array() as array<struct<start: bigint, kind: int, end: bigint, name: string>>)")
-    lists = [F.when(F.size(f"match_{n}") > 0, _found(n, i, f"between_{n}", f"match_{n}", f"group_{n}" if g else None, least)).otherwise(none) for i, (n, (_, g, least)) in enumerate(rules.items())]
-    return out.select("doc_id", "text", *(F.col(f"kept_{c}").alias(c) for c in keep), F.array_sort(F.concat(*lists)).alias("found"))
+    out = out.select("doc_id", "text", *kept, *cols)
+    sizes = [F.expr(f"zip_with(slice(between_{n}, 1, size(match_{n})), match_{n}, (b, m) -> cast(char_length(b) + char_length(m) as bigint))").alias(f"size_{n}") for n in rules]
+    lists = [c for n, (_, group, _) in rules.items() for c in ((f"match_{n}", f"group_{n}") if group else (f"match_{n}",))]
+    out = out.select("doc_id", "text", *kept, *lists, *sizes)
+    found = [
+        F.when(F.size(f"match_{n}") > 0, _found(n, i, f"ends_{n}", f"match_{n}", f"group_{n}" if g else f"match_{n}", least)).otherwise(F.expr(f"cast(array() as {SPANS})"))
+        for i, (n, (_, g, least)) in enumerate(rules.items())
+    ]
+    out = out.select("doc_id", "text", *kept, *lists, *(running(f"size_{n}", "a + b").alias(f"ends_{n}") for n in rules))
+    return out.select("doc_id", "text", *(F.col(f"kept_{c}").alias(c) for c in keep), F.array_sort(F.concat(*found)).alias("found"))
 
 
 def _written(found: str) -> Column:
@@ -191,20 +217,26 @@ def _body(end: Column) -> Column:
     return F.when(stop != "", size(KEY_END) + F.char_length(stop)).when(own.rlike(r"^[ \t]*(?:[\r\n]|\\[rn])"), size(KEY_BREAK)).otherwise(0).cast("long")
 
 
-def redact(scanned: DataFrame, mark: str = "[secret]") -> Column:
-    """The text with every span (overlapping ones merged) replaced by `mark`.
+def _between(a: str, b: str) -> str:
+    """SQL for the code points a .. b-1 of the text, put together from its `pieces`."""
+    return f"""case when {b} <= {a} then '' when {a} div {PIECE} = {b} div {PIECE} then substring(get(pieces, cast({a} div {PIECE} as int)), cast({a} % {PIECE} + 1 as int), cast({b} - {a} as int))
+        else concat(substring(get(pieces, cast({a} div {PIECE} as int)), cast({a} % {PIECE} + 1 as int), {PIECE}),
+            array_join(slice(pieces, cast({a} div {PIECE} + 2 as int), cast({b} div {PIECE} - {a} div {PIECE} - 1 as int)), ''), coalesce(substring(get(pieces, cast({b} div {PIECE} as int)), 1, cast({b} % {PIECE} as int)), '')) end"""
+
+
+def redact(scanned: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """The scan's rows with their text redacted, without `found`: every span (overlapping ones merged) is replaced by `mark`.
 
     The scan reports a private key by its header; here its span runs on through the body and the END line.
     """
     found = F.transform("found", lambda s: F.when(s["name"] == "pem", s.withField("end", s["end"] + _body(s["end"]))).otherwise(s))
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    step = lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(
-        F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.concat(F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))).otherwise(F.lit(""))).alias("out"),
-        )
-    )
-    return F.when(F.size("found") == 0, F.col("text")).otherwise(F.aggregate(found, state, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.lit(2147483647)))))
+    pieces = F.when(F.size("found") > 0, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+    names = [c for c in scanned.columns if c not in ("text", "found")]
+    out = scanned.select(*names, "text", found.alias("spans_"), pieces.alias("pieces"), F.char_length("text").cast("long").alias("size_"))
+    out = out.withColumn("far", F.expr("transform(spans_, s -> s.end)")).withColumn("far", running("far", "greatest(a, b)"))
+    parts = F.expr(f"""transform(spans_, (s, i) -> if(s.start >= coalesce(get(far, i - 1), 0), concat({_between("coalesce(get(far, i - 1), 0L)", "s.start")}, '{mark}'), ''))""")
+    new = F.when(F.size("spans_") == 0, F.col("text")).otherwise(F.concat(F.array_join(parts, ""), F.expr(_between("element_at(far, -1)", "size_"))))
+    return out.withColumn("text", new).select([c for c in scanned.columns if c != "found"])
 
 
 def oracle() -> str:

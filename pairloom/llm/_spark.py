@@ -15,7 +15,7 @@ CHUNK_BYTES = 1 << 20
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder, so that a lost executor costs no recomputation.
 
-    The folder is spark.checkpoint.dir; only where that is unset (tests), a temporary one.
+    The folder is spark.checkpoint.dir; only in local mode, where it may be unset, a temporary one.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -26,6 +26,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             import tempfile
 
             where = tempfile.mkdtemp(prefix="pairloom-checkpoint-")

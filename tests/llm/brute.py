@@ -113,3 +113,39 @@ def secrets(text):
     found = [(m.start(), o, k, m.end()) for o, (k, (p, g, least)) in enumerate(SECRET.items()) for m in p.finditer(text or "") if len(m.group(g)) >= least]
     joined = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found))
     return tuple(sum(k == x for _, _, x, _ in found) for k in SECRET), hashlib.sha256(joined.encode()).hexdigest()
+
+
+PERSONAL = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def _personal(kind, match):
+    digits = [int(c) for c in match if c in "0123456789"]
+    if kind == "ip":
+        return all(int(x) <= 255 for x in match.split("."))
+    if kind == "card":
+        doubled = [d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(reversed(digits))]
+        return 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def personal(text):
+    """(counts, joined base spans)."""
+    found = [(kind, m.start(), m.end()) for kind, p in PERSONAL.items() for m in p.finditer(text or "") if _personal(kind, m.group())]
+    return tuple(sum(k == kind for k, _, _ in found) for kind in PERSONAL), ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+
+
+def best_fit(lengths, window):
+    """How full each window is: longest first, into the fullest window with room, by looking at all of them."""
+    fill = []
+    for n in sorted(lengths, reverse=True):
+        fits = [k for k, x in enumerate(fill) if x + n <= window]
+        if fits:
+            fill[max(fits, key=lambda k: fill[k])] += n
+        else:
+            fill.append(n)
+    return sorted(fill)

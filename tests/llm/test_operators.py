@@ -156,6 +156,51 @@ def test_packing_edges(edges, nothing):
     assert got.count() >= 12 and packing.pack_documents(nothing, queries.tokenizer_path("byte_bpe_50k.json")).count() == 0
 
 
+def test_packing_fills_as_a_plain_best_fit(spark, docs, texts, monkeypatch):
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    rows = packing.pack_documents(docs.coalesce(1), path).collect()
+    fill = {}
+    for r in rows:
+        fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
+    want = brute.best_fit([r.length for r in rows if r.length < 1024], 1024) + [1024] * sum(r.length == 1024 for r in rows)
+    assert sorted(fill.values()) == sorted(want)
+
+
+def test_packing_many_long_texts_in_one_partition(spark):
+    rows = [(i, f"word{i} and more of them, " * (2000 + 37 * i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    small = packing.HELD_IDS, packing.BATCH_IDS
+    try:
+        packing.HELD_IDS, packing.BATCH_IDS = 5000, 3000  # sent with the function: held ids are packed several times
+        got = packing.pack_documents(df, queries.tokenizer_path("byte_bpe_50k.json"), with_ids=True).collect()
+    finally:
+        packing.HELD_IDS, packing.BATCH_IDS = small
+    by, fill = {}, {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append(r)
+        fill.setdefault(r.sequence_id, []).append(r)
+    for i, parts in by.items():
+        parts.sort(key=lambda r: r.start)
+        assert sum(r.length for r in parts) == parts[0].doc_tokens and all(len(r.ids) == r.length and zlib.crc32(b"".join(x.to_bytes(4, "little") for x in r.ids)) == r.ids_crc32 for r in parts)
+    for parts in fill.values():
+        parts.sort(key=lambda r: r.offset)
+        assert [r.offset for r in parts] == [sum(q.length for q in parts[:k]) for k in range(len(parts))]
+    assert len(by) == 60
+
+
+def test_remainders_are_held_in_bounds():
+    import numpy as np
+    import pyarrow as pa
+
+    left = packing._Remainders(True)
+    ids = np.arange(3000, dtype=np.uint32)
+    rows = [pa.array([7, None], pa.int64()), np.zeros(2, np.int64), np.array([500, 700]), np.zeros(2, np.int64), np.array([500, 700])]
+    left.add(rows, ids, np.array([100, 2000]))
+    made, columns, held, at = left.packed(1024, 40)
+    assert made == 2 and columns[0].to_pylist() == [None, 7] and columns[5].tolist() == [40, 41] and columns[6].tolist() == [0, 0]
+    assert held[at[0] : at[0] + 700].tolist() == list(range(2000, 2700)) and not left.n and not left.ids
+
+
 def test_hamming(spark, small):
     oracle.same(queries.op5_hamming_top_k(spark, small), oracle.connect(small), hamming.ORACLE)
 
@@ -183,7 +228,7 @@ def test_secrets_edges(spark, edges, nothing):
     got = {r.doc_id: ((r.n_assign, r.n_access, r.n_hex), r.base_sha256) for r in secrets.report(secrets.scan(df)).collect()}
     assert got == {i: brute.secrets(t) for i, t in [*EDGES, *tricky]}
     scanned = secrets.scan(edges, keep=("band",))
-    out = {r.doc_id: r.t for r in scanned.select("doc_id", secrets.redact(scanned).alias("t")).collect()}
+    out = {r.doc_id: r.text for r in secrets.redact(scanned).collect()}
     assert out[8] == "[secret]' [secret] é [secret]" and out[9] == EDGES[8][1] and out[1] == ""
     assert secrets.scan(edges).count() == 12 and secrets.report(secrets.scan(nothing)).count() == 0
 
@@ -203,7 +248,7 @@ def test_redaction_takes_whole_private_keys(spark):
         (7, "{'key': '" + begin + "\\n" + "\\n".join(lines) + "\\nand', 1}", "{'key': '[secret]\\nand', 1}"),
     ]
     scanned = secrets.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
-    got = {r.doc_id: r.t for r in scanned.select("doc_id", secrets.redact(scanned).alias("t")).collect()}
+    got = {r.doc_id: r.text for r in secrets.redact(scanned).collect()}
     assert got == {i: t for i, _, t in rows}
 
 
@@ -218,8 +263,9 @@ def test_personal_data(docs, texts, edges, nothing):
     import hashlib
 
     for r in pii.find_personal_data(docs).collect():
-        base = pii.base_spans(dict(texts)[r.doc_id] or "")
-        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest() and r.spans.startswith(",".join(f"{k}:{a}:{b}" for k, a, b in base))
+        counts, base = brute.personal(dict(texts)[r.doc_id])
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == counts
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest() and r.spans.startswith(base)
     out = {r.doc_id: r for r in pii.find_personal_data(edges, redact=True).collect()}
     assert out[9].redacted == "mail [email] or [phone]" and out[1].spans == ""
     assert pii.find_personal_data(nothing).count() == 0
@@ -237,6 +283,43 @@ def test_personal_data_candidates():
     assert spans("1.2.3.4 999.1.1.1 1.2.3") == ["ip"] and spans("+1 (366) 555-9807 +123") == ["phone"]
 
 
+def test_very_long_texts_take_linear_time(spark):
+    import time
+
+    begin = time.time()
+    assert pii.base_spans("1" * 1_000_000) == [] and len(pii.base_spans("1.1.1.1 " * 50_000)) == 50_000
+    assert pii.candidates("x at y " * 50_000) == []
+    assert time.time() - begin < 20
+    rows = [(1, "0123456789abcdef0 " * 100_000), (2, "password=abcdefghijklmnop é " * 20_000)]
+    begin = time.time()
+    scanned = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: (r.n_hex, r.n_assign) for r in secrets.report(scanned).collect()} == {1: (100_000, 0), 2: (0, 20_000)}
+    assert {r.doc_id: r.text for r in secrets.redact(scanned).collect()} == {1: "[secret] " * 100_000, 2: "[secret] é " * 20_000}
+    assert time.time() - begin < 90
+
+
+def test_secrets_by_shuffle_and_by_broadcast(docs, monkeypatch):
+    want = sorted(secrets.report(secrets.scan(docs)).collect())
+    monkeypatch.setattr(secrets, "FEW", 0)
+    assert sorted(secrets.report(secrets.scan(docs)).collect()) == want
+
+
+def test_spelled_addresses():
+    kinds = lambda t: [(k, t[a:b]) for k, a, b in pii.candidates(t)]
+    assert kinds("write john.smith at example.com or a [at] b [dot] de") == [("spelled_email", "john.smith at example.com"), ("spelled_email", "a [at] b [dot] de")]
+    assert kinds(" at example.com") == [] and kinds("x" * 100 + "(at)" + "y.de") == [("spelled_email", "x" * 64 + "(at)y.de")]
+
+
+def test_labelled_sample_is_bounded(spark):
+    from pairloom.llm._labels import labelled_sample
+
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(2, None), (2, "a"), (None, "b"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, None), (None, 1)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", 10).collect()
+    assert sorted((r.doc_id, r.target) for r in rows) == [(1, 1), (2, 0)]
+    assert len(labelled_sample(docs, labels, "toxic", 1).collect()) == 1
+
+
 def _held_out(rows, labels, score, label):
     got = sorted((r[score], dict(labels)[r.doc_id]) for r in rows if r.doc_id in dict(labels))
     pos = sum(y for _, y in got)

@@ -39,8 +39,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a mark; n_chars follows the text, all other columns stay."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = secrets.scan(docs, keep=tuple(rest))
-    new = found.select("doc_id", secrets.redact(found).alias("text"), *rest)
+    new = secrets.redact(secrets.scan(docs, keep=tuple(rest)))
     if "n_chars" in rest:
         new = new.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return new.select(docs.columns)

@@ -5,7 +5,7 @@ taken in decreasing length; a segment tree over remaining capacities finds the t
 open window that still takes one, in log2(window) steps. Tasks pack on their own, so there is no
 shuffle. A task tokenises some MB of text at a time and emits full windows at once; of a remainder it keeps five numbers and,
 where the ids are part of the result, the ids in one flat buffer. What is kept is packed and emitted whenever it
-reaches HELD_IDS ids or HELD_ROWS remainders, so a task's memory does not grow with its partition.
+reaches `held_ids` ids or HELD_ROWS remainders, so a task's memory does not grow with its partition.
 
 Tokens come from a byte-level BPE. Splitting a text before a single space that follows a visible
 character never changes its tokens, so a chunk's distinct pieces are tokenised once and its ids gathered.
@@ -207,8 +207,8 @@ def _batches(schema: pa.Schema, columns: list, ids: np.ndarray, at: np.ndarray)
 class _Remainders:
     """What is left of documents behind their full windows: flat columns, and one buffer of ids where they are asked for."""
 
-    def __init__(self, with_ids: bool):
-        self.with_ids = with_ids
+    def __init__(self, with_ids: bool, most_ids: int = HELD_IDS):
+        self.with_ids, self.most_ids = with_ids, most_ids
         self.clear()
 
     def clear(self) -> None:
@@ -222,7 +222,7 @@ class _Remainders:
             self.ids.append(ids[_spread(at, rows[2])])
 
     def full(self) -> bool:
-        return self.n >= HELD_ROWS or self.with_ids and self.n_ids >= HELD_IDS
+        return self.n >= HELD_ROWS or self.with_ids and self.n_ids >= self.most_ids
 
     def packed(self, window: int, first: int) -> tuple[int, list, np.ndarray, np.ndarray]:
         """(windows made, columns in order of the windows, ids, where each row's ids begin); nothing is held then."""
@@ -240,7 +240,7 @@ class _Remainders:
 _ROW = pa.schema([(k, pa.int64()) for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, held_ids: int = HELD_IDS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids if asked).
 
     Each document's ids, closed by end_id, are cut into full windows and one remainder; a full window is a sequence
@@ -252,7 +252,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, made = TaskContext.get().partitionId() << 40, 0
-        left = _Remainders(with_ids)
+        left = _Remainders(with_ids, held_ids)
         for piece in chunks(batches, size=_CHUNK):
             ids, first = token_ids(*flat(piece.column(1)), tokenizer, end_id)
             sizes = np.diff(first)

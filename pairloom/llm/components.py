@@ -17,8 +17,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of `edges` (u, v); component is the smallest node reachable, and a component's own smallest node is not listed.
 
     Large-star and small-star steps alternate until the edge table no longer changes; each
-    step is one map-side combined minimum and one equi-join, so a hub's edges are never
-    gathered in a task. Self-loops, repeated edges, nulls and either direction are allowed; nodes that
+    step is one map-side combined minimum and one equi-join. In that join a hub has one row on the side of the minima, so
+    Spark's adaptive handling of skewed joins deals a large hub's edges to several tasks. Self-loops, repeated edges, nulls and either direction are allowed; nodes that
     only have self-loops are not returned. An empty table gives an empty result.
     """
     edges = edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

@@ -6,17 +6,23 @@ one element hold correlated ranks (0.., 1.., 2..) and the estimate varies less t
 with independent hashes. A document stops as soon as every slot is below the next
 round's values; long documents stop after one or two rounds.
 
-Banding finds candidates, which are confirmed on the full shingle sets. Documents with equal sets
-collapse to one representative first. Links are found in two steps: every
+Banding finds candidates, which are confirmed on the full shingle sets. Documents with the same words in the same order
+(by sha256) collapse to one representative first. Links are found in two steps: every
 member of a bucket is compared with the bucket's smallest member; the components so far are
-joined by union-find; then only members of a bucket that still lie in different components are compared,
-if four bits of each slot leave the similarity possible. That comparison is exact too: each member
-keeps how its full set differs from the bucket's smallest member, and the difference of two members is
-the symmetric difference of those two small sets. It is a join condition, so only links become rows.
+joined by union-find; then only members of a bucket that still lie in different components are compared.
+That comparison is exact: each member keeps how its full set differs from the bucket's smallest member, and the difference
+of two members is the symmetric difference of those two small sets. Parity sketches spare most of the work without losing a link:
+the bits in which two sets' sketches differ are never more than the elements in which the sets do. It is a join condition,
+so only links become rows, and a bucket is dealt over several keys by its size.
+
+Frequent bands: their statistics are combined on the map side and then over SALTS keys, so that no task reads a row of every
+partition for one band. In the joins on bands and nodes a frequent key has one row on the other side; Spark's adaptive skew
+handling splits such keys.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,17 +31,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import batch, chunks, cut, int_lists
-from ._text import U64, flat, mix, owner, words
+from ._text import LOWER, SPACE, U64, flat, mix, owner, words
 from .components import connected_components
 
 SHINGLE = 5
 SLOTS = 100
+#: 64-bit words of a parity sketch; keys that a frequent band's statistics go through; members of a bucket that are a key of their own.
+PARITY_WORDS, SALTS, GROUP = 8, 16, 512
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first): sorted distinct shingle hashes of each text, one text after another."""
-    _, _, hashes, first = words(data, offsets)
+def shingle_sets(found: tuple, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first): sorted distinct shingle hashes of each text, one text after another, from what `words` gives."""
+    _, _, hashes, first = found
     counts = np.diff(first)
     m = max(0, len(hashes) - size + 1)
     rolled = np.zeros(m, U64)
@@ -111,50 +119,49 @@ def band_keys(signature: np.ndarray, rows: int = 5) -> np.ndarray:
     return keys
 
 
-def nibbles(signature: np.ndarray) -> np.ndarray:
-    """Four bits of each slot, sixteen slots to a 64-bit word (texts x words)."""
-    n, slots = signature.shape
-    words_ = -(-slots // 16)
-    low = np.zeros((n, words_ * 16), U64)
-    low[:, :slots] = mix(signature.ravel()).reshape(n, slots) & U64(15)
-    return np.bitwise_or.reduce(low.reshape(n, words_, 16) << (np.arange(16, dtype=U64) * U64(4)), axis=2)
-
+def parities(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(texts x PARITY_WORDS) 64-bit words: each element flips one of their bits."""
+    n, bits = len(first) - 1, 64 * PARITY_WORDS
+    flipped = np.bincount(owner(first) * bits + (mix(values ^ U64(3)) % U64(bits)).astype(np.int64), minlength=n * bits) & 1
+    return np.packbits(flipped.astype(np.uint8).reshape(n, bits), axis=1, bitorder="little").view("<u8").reshape(n, PARITY_WORDS)
 
-def _slots_apart(words_: int) -> str:
-    """SQL for the number of slots whose four bits differ, between x's and y's nibbles."""
-    return " + ".join(f"bit_count((d{i} | shiftright(d{i}, 1) | shiftright(d{i}, 2) | shiftright(d{i}, 3)) & {0x1111111111111111}L)".replace(f"d{i}", f"(x{i} ^ y{i})") for i in range(words_))
 
+def digests(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """sha256 of each text's lower-cased words with a space between."""
+    lower, cut = LOWER[data], np.zeros(len(data) + 1, np.int32)
+    np.add.at(cut, starts, 1)
+    np.add.at(cut, ends, -1)
+    keep = np.cumsum(cut[:-1]) > 0
+    after = ends[ends < len(data)]
+    gap = after[SPACE[data[after]]]
+    lower[gap], keep[gap] = 32, True
+    at = np.concatenate(([0], np.cumsum(keep)))[offsets]
+    raw = lower[keep].tobytes()
+    return [hashlib.sha256(raw[a:b].rstrip(b" ")).digest() for a, b in zip(at.tolist(), at[1:].tolist())]
 
-def most_apart(percent: int, slots: int = SLOTS) -> int:
-    """Slots whose four bits may differ: what a pair at the threshold has in expectation and four deviations."""
-    differ = (1 - percent / 100) * 15 / 16
-    return int(np.ceil(slots * differ + 4 * np.sqrt(slots * differ * (1 - differ))))
 
-
-_WORDS = -(-SLOTS // 16)
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("bands", pa.list_(pa.int64())), ("nibbles", pa.list_(pa.int64()))])
-_SETS = pa.schema([("doc_id", pa.int64()), ("items", pa.list_(pa.int64()))])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("items", pa.list_(pa.int64()))])
 
 
 def _sketch(rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches):
-            values, first = shingle_sets(*flat(piece.column(1)))
-            sums = []
-            for salt in (1, 2):
-                total = np.concatenate(([U64(0)], np.cumsum(mix(values ^ U64(salt)))))
-                sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-            signature = superminhash(values, first)
-            lists = [int_lists(x.ravel(), np.arange(len(x) + 1) * x.shape[1]) for x in (band_keys(signature, rows), nibbles(signature))]
-            yield batch(_SKETCH, piece.column(0), np.diff(first), *sums, *lists)
+            data, offsets = flat(piece.column(1))
+            found = words(data, offsets)
+            values, first = shingle_sets(found)
+            lists = [int_lists(x.ravel(), np.arange(len(x) + 1) * x.shape[1]) for x in (band_keys(superminhash(values, first), rows), parities(values, first))]
+            yield batch(_SKETCH, piece.column(0), np.diff(first), digests(data, offsets, found[0], found[1], found[3]), *lists)
 
     return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in chunks(batches):
-        values, first = shingle_sets(*flat(piece.column(1)))
-        yield batch(_SETS, piece.column(0), int_lists(values, first))
+        data, offsets = flat(piece.column(1))
+        found = words(data, offsets)
+        values, first = shingle_sets(found)
+        yield batch(_SETS, piece.column(0), digests(data, offsets, found[0], found[1], found[3]), int_lists(values, first))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -168,41 +175,71 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_shingles, component_id, kept: one row per row of `docs`.
 
     Null and empty texts (or texts without words) have the empty set: linked with nothing, component of their own. Texts
-    of one to four words have one shingle, their whole word sequence. Rows that share a
-    doc_id are kept apart only if their texts differ in no way that matters: they get the same component. A null doc_id
-    is never linked: component_id is null and kept is true. Other columns of docs are ignored.
+    of one to four words have one shingle, their whole word sequence. Rows that share a doc_id are one document, whose
+    text with the least digest (of those with words) stands for all in comparisons; each row counts its own shingles. A null doc_id is never linked: component_id is null and kept is true. Other columns of docs are ignored.
     Memory: a task holds about one MB of text and one sketch per document of it.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketch = cut(docs.mapInArrow(_sketch(rows_for(percent)), "doc_id long, n long, a long, b long, bands array<long>, nibbles array<long>"))
+    sketch = cut(docs.mapInArrow(_sketch(rows_for(percent)), "doc_id long, n long, digest binary, bands array<long>, parity array<long>"))
     full = sketch.where("n > 0 and doc_id is not null")
-    same = full.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"))
-    reps = full.join(same.select("rep", "n", "a", "b"), ["n", "a", "b"]).where("doc_id = rep").select("rep", "n", "bands", "nibbles").dropDuplicates(["rep"])
+    chosen = full.groupBy("doc_id").agg(F.min("digest").alias("digest"))
+    same = chosen.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    reps = full.join(same, "digest").where("doc_id = rep").select("rep", "n", "bands", "parity").dropDuplicates(["rep"])
     postings = reps.select("rep", "n", F.explode("bands").alias("band"))
-    shared = postings.groupBy("band").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).where("size > 1").select("band", "pivot")
-    members = cut(postings.join(shared, "band"))
+    members = cut(postings.join(_pivots(postings), "band"))
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = cut(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, items array<long>").dropDuplicates(["doc_id"]))
+    every = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, digest binary, items array<long>").where("size(items) > 0")
+    sets = cut(every.groupBy("doc_id").agg(F.min_by("items", "digest").alias("items")))
     stars = members.where("rep > pivot").groupBy("rep").agg(F.min("pivot").alias("v")).withColumnRenamed("rep", "u")
     links = cut(_confirm(stars, sets, percent))
     found = connected_components(links)
-    # pairs of a bucket that are still apart
-    known = members.join(found, members.rep == found.node, "left").select("band", "pivot", "rep", "n", F.coalesce("component", "rep").alias("c"))
-    apart = known.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-    open_ = known.join(apart, "band").select("pivot", "rep", "n", "c").distinct()
-    items = [sets.select(F.col("doc_id").alias(k), F.col("items").alias(f"{k}_items")) for k in ("rep", "pivot")]
-    unlike = F.array_union(F.array_except("rep_items", "pivot_items"), F.array_except("pivot_items", "rep_items"))
-    open_ = open_.join(items[0], "rep").join(items[1], "pivot").select("pivot", "rep", "n", "c", unlike.alias("unlike"))
-    open_ = cut(open_.join(reps.select("rep", "nibbles"), "rep"))
-    x, y = (
-        open_.select("pivot", F.col("rep").alias(end), F.col("n").alias(f"n{end}"), F.col("c").alias(f"c{end}"), F.col("unlike").alias(f"d{end}"), *(F.col("nibbles")[i].alias(f"{side}{i}") for i in range(_WORDS)))
-        for side, end in (("x", "u"), ("y", "v"))
-    )
-    between = "(size(du) + size(dv) - 2 * size(array_intersect(du, dv)))"
-    linked = F.expr(f"v < u and cv <> cu and least(nu, nv) * 100 >= greatest(nu, nv) * {percent} and {_slots_apart(_WORDS)} <= {most_apart(percent)} and 100 * (nu + nv - {between}) >= {percent} * (nu + nv + {between})")
-    more = x.join(y, (x["pivot"] == y["pivot"]) & linked).select("u", "v")
+    more = _between(members, found, sets, reps.select("rep", "parity"), percent)
     final = connected_components(links.unionByName(more))
-    class_of = same.join(final, same.rep == final.node, "left").select("n", "a", "b", F.coalesce("component", "rep").alias("component"))
-    linked = full.join(class_of, ["n", "a", "b"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    class_of = same.join(final, same.rep == final.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    linked = full.select("doc_id", F.col("n").alias("n_shingles")).join(chosen.join(class_of, "digest").select("doc_id", "component_id"), "doc_id")
     alone = sketch.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _pivots(postings: DataFrame) -> DataFrame:
+    """band, pivot: the smallest member of each band that has several."""
+    salted = postings.groupBy("band", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).alias("salt")).agg(F.min("rep").alias("pivot"), F.count("*").alias("size"))
+    return salted.groupBy("band").agg(F.min("pivot").alias("pivot"), F.sum("size").alias("size")).where("size > 1").select("band", "pivot")
+
+
+def _between(members: DataFrame, found: DataFrame, sets: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
+    """(u, v): the links between members of a bucket that the components `found` so far keep apart."""
+    known = members.join(found, members.rep == found.node, "left").select("band", "pivot", "rep", "n", F.coalesce("component", "rep").alias("c"))
+    spread = known.groupBy("band", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).alias("salt")).agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    apart = spread.groupBy("band").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("band")
+    open_ = cut(known.join(apart, "band").select("pivot", "rep", "n", "c").distinct())
+    items = [sets.select(F.col("doc_id").alias(k), F.col("items").alias(f"{k}_items")) for k in ("rep", "pivot")]
+    unlike = F.array_union(F.array_except("rep_items", "pivot_items"), F.array_except("pivot_items", "rep_items"))
+    parts = open_.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
+    rows = open_.join(parts, "pivot").join(items[0], "rep").join(items[1], "pivot").select("pivot", "parts", "rep", "n", "c", unlike.alias("unlike"))
+    rows = cut(rows.join(parity, "rep"))
+    columns = lambda side, end: [F.col("rep").alias(end), F.col("n").alias(f"n{end}"), F.col("c").alias(f"c{end}"), F.col("unlike").alias(f"d{end}"), *(F.col("parity")[i].alias(f"{side}{i}") for i in range(PARITY_WORDS))]
+    x = rows.select("pivot", F.expr("cast(pmod(xxhash64(rep), parts) as int)").alias("part"), *columns("x", "u"))
+    y = rows.select("pivot", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), *columns("y", "v"))
+    # linked: the sets differ in at most (nu + nv) * (100 - percent) / (100 + percent) elements
+    most = f"(nu + nv) * {100 - percent}"
+    at_least = " + ".join(f"bit_count(x{i} ^ y{i})" for i in range(PARITY_WORDS))
+    differ = "(size(du) + size(dv) - 2 * size(array_intersect(du, dv)))"
+    linked = F.expr(f"v < u and cv <> cu and abs(nu - nv) * {100 + percent} <= {most} and abs(size(du) - size(dv)) * {100 + percent} <= {most} and ({at_least}) * {100 + percent} <= {most} and {differ} * {100 + percent} <= {most}")
+    return x.join(y, (x["pivot"] == y["pivot"]) & (x["part"] == y["part"]) & linked).select("u", "v")
+
+
+def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of docs, with all their columns, but one row of each class: that of its smallest doc_id.
+
+    Rows with a null doc_id stay. Where several rows share a kept doc_id, one of them stays: the one with the least text (null first).
+    """
+    gone = near_duplicates(docs, percent=percent).where("not kept").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    twice = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if twice.isEmpty():
+        return kept
+    rest = [c for c in docs.columns if c != "doc_id"]
+    row = F.struct(*(F.col(c) for c in rest))
+    one = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct("text", F.xxhash64(*rest))).alias("row")).select("doc_id", "row.*")
+    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))

@@ -71,6 +71,51 @@ def test_near_duplicates_that_chain(spark):
     assert got == brute.near(rows, 85)
 
 
+def test_near_duplicates_of_one_bucket_of_thousands(spark):
+    """Variants of one text that share most bands: many are apart from the bucket's smallest member, some linked among themselves."""
+    r = random.Random(14)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for family in range(300):
+        own = list(base)
+        for k in r.sample(range(60), 2):
+            own[k] = f"f{family}_{k}"
+        for copy in range(8):
+            text = list(own)
+            if r.random() < 0.5:
+                text[r.randrange(60)] = f"c{r.randrange(20)}"
+            rows.append((len(rows), " ".join(text)))
+    r.shuffle(rows)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    assert got == brute.near(rows, 85)
+
+
+def test_parity_never_exceeds_the_difference():
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 1 << 62, n).astype(np.uint64)) for n in (0, 1, 50, 700)] + [r.integers(0, 9, 40).astype(np.uint64)]
+    sets = [np.unique(x) for x in sets]
+    first = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    p = near_dedup.parities(np.concatenate(sets), first)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            assert np.bitwise_count(p[i] ^ p[j]).sum() <= len(np.setxor1d(x, y))
+
+
+def test_near_duplicates_with_repeated_ids(spark):
+    rows = [(5, "a b c d e f g"), (5, "h i j k l m n"), (5, ""), (9, "h i j k l m n"), (7, "A B C\nD e f  g "), (8, "x")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    one, other = [(5, 0, 5), (5, 3, 5), (5, 3, 5), (7, 3, 5), (8, 1, 8), (9, 3, 9)], [(5, 0, 5), (5, 3, 5), (5, 3, 5), (7, 3, 7), (8, 1, 8), (9, 3, 5)]
+    assert got in (one, other)  # whichever text of document 5 has the least digest
+
+
+def test_one_row_of_each_class(spark):
+    rows = [(1, "a b c d e f g", "x"), (1, "a b c d e f g", "x"), (2, "a b c d e f g", "y"), (None, "a b c d e f g", "z"), (3, None, None), (3, None, None), (4, "", "w")]
+    got = near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, band string"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, spark.createDataFrame([rows[0], rows[3], rows[4], rows[6]], "doc_id long, text string, band string").collect()))
+
+
 def test_near_duplicates_edges(edges, nothing):
     got = near_dedup.near_duplicates(edges).collect()
     assert len(got) == 12
@@ -156,7 +201,7 @@ def test_packing_edges(edges, nothing):
     assert got.count() >= 12 and packing.pack_documents(nothing, queries.tokenizer_path("byte_bpe_50k.json")).count() == 0
 
 
-def test_packing_fills_as_a_plain_best_fit(spark, docs, texts, monkeypatch):
+def test_packing_fills_as_a_plain_best_fit(docs):
     path = queries.tokenizer_path("byte_bpe_50k.json")
     rows = packing.pack_documents(docs.coalesce(1), path).collect()
     fill = {}
@@ -169,12 +214,7 @@ def test_packing_fills_as_a_plain_best_fit(spark, docs, texts, monkeypatch):
 def test_packing_many_long_texts_in_one_partition(spark):
     rows = [(i, f"word{i} and more of them, " * (2000 + 37 * i)) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    small = packing.HELD_IDS, packing.BATCH_IDS
-    try:
-        packing.HELD_IDS, packing.BATCH_IDS = 5000, 3000  # sent with the function: held ids are packed several times
-        got = packing.pack_documents(df, queries.tokenizer_path("byte_bpe_50k.json"), with_ids=True).collect()
-    finally:
-        packing.HELD_IDS, packing.BATCH_IDS = small
+    got = packing.pack_documents(df, queries.tokenizer_path("byte_bpe_50k.json"), with_ids=True, held_ids=5000).collect()
     by, fill = {}, {}
     for r in got:
         by.setdefault(r.doc_id, []).append(r)

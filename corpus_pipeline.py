@@ -27,8 +27,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies (five-word shingles, similarity 0.8)."""
-    classes = near_dedup.near_duplicates(docs, percent=80)
-    return _without(docs, classes.where("not kept"))
+    return near_dedup.keep_one(docs, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

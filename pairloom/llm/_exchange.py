@@ -1,7 +1,7 @@
 """Ask-and-answer exchange: chunks of documents ask keyed questions of the whole corpus and get the answers back.
 
-A chunk (some MB of whole texts) sends each bucket one packed array of distinct keys; a bucket sees the
-keys of all chunks, and replies to each in the order asked. Texts are dealt once by chunk; replies are dealt by the same
+A chunk (some MB of whole texts) sends a bucket one packed array of distinct keys, if it has any for it, so there are never more
+messages than keys; a bucket sees the keys of all chunks, and replies to each in the order asked. Texts are dealt once by chunk; replies are dealt by the same
 partitioner, so putting them beside their texts is a narrow union. Keys repeated within a chunk are sent once: a
 key that all documents share costs a bucket one entry for each chunk. RDDs are used because the DataFrame API cannot
 read the same shuffle files twice (statistics first, then replies) or keep texts in place
@@ -48,9 +48,9 @@ def _same(key: int) -> int:
 
 
 class Texts:
-    """The chunks of docs (doc_id, text), each in a partition of its own as far as `parts` goes."""
+    """The chunks of docs (doc_id, text), each in a partition of its own as far as `parts` goes; build makes a chunk of its rows."""
 
-    def __init__(self, docs: DataFrame, size: int = CHUNK_BYTES):
+    def __init__(self, docs: DataFrame, size: int = CHUNK_BYTES, build: Callable = Chunk):
         def run(part: int, rows: Iterator) -> Iterator:
             ids, texts, held, number = [], [], 0, 0
             for doc_id, text in rows:
@@ -58,10 +58,10 @@ class Texts:
                 texts.append(text)
                 held += len(text or "") + 8
                 if held >= size:
-                    yield Chunk(part, number, ids, texts)
+                    yield build(part, number, ids, texts)
                     ids, texts, held, number = [], [], 0, number + 1
             if ids:
-                yield Chunk(part, number, ids, texts)
+                yield build(part, number, ids, texts)
 
         self.bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         rows = docs.rdd
@@ -73,7 +73,7 @@ class Texts:
         self.key = key
 
     def beside(self, *answers: RDD) -> RDD:
-        """(chunk, [replies of each bucket] for each of the answers)."""
+        """(chunk, [replies of the buckets asked, in their order] for each of the answers)."""
 
         turns = range(len(answers))
 
@@ -93,12 +93,12 @@ class Texts:
 
 
 def ask(elements: RDD, question: Callable, buckets: int) -> RDD:
-    """(bucket, (part, number, payload)), one partition for each bucket. question(*element) gives a payload for each bucket."""
+    """(bucket, (part, number, payload)), one partition for each bucket. question(*element) gives (bucket, payload) of each bucket asked."""
 
     def run(rows: Iterator) -> Iterator:
         for element in rows:
             chunk = element[0]
-            for bucket, payload in enumerate(question(*element)):
+            for bucket, payload in question(*element):
                 yield bucket, (chunk.part, chunk.number, payload)
 
     return elements.mapPartitions(run).partitionBy(buckets, _same)
@@ -115,7 +115,7 @@ def statistics(asked: RDD, of_bucket: Callable) -> list:
 
 
 def answer(asked: RDD, texts: Texts, reply: Callable, turn: int = 0) -> RDD:
-    """The replies of all buckets, dealt as the texts are; reply(payloads) gives one reply for each payload.
+    """The replies of all buckets, dealt as the texts are; reply(payloads, bucket) gives one reply for each payload.
 
     turn: the place of these answers among those put beside the texts.
     """
@@ -125,21 +125,27 @@ def answer(asked: RDD, texts: Texts, reply: Callable, turn: int = 0) -> RDD:
         rows = [(bucket, *v) for bucket, v in rows]
         rows.sort(key=lambda r: r[:3])
         if rows:
-            for (bucket, part, number, _), out in zip(rows, reply([r[3] for r in rows])):
+            for (bucket, part, number, _), out in zip(rows, reply([r[3] for r in rows], rows[0][0])):
                 yield key(part, number), (part, number, turn, bucket, out)
 
     return asked.mapPartitions(run).partitionBy(texts.parts, _same)
 
 
-def planes(x: np.ndarray) -> tuple[int, bytes]:
-    """Counts below 2**32, packed: their bytes plane by plane, where the high ones are mostly zero."""
-    x = np.ascontiguousarray(x, np.uint32)
-    return len(x), zlib.compress(x.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+def planes(x: np.ndarray) -> tuple[int, int, bytes]:
+    """Whole numbers from 0 on, packed: their bytes plane by plane, where the high ones are mostly zero."""
+    wide_ = bool(len(x)) and int(x.max()) >> 32 > 0
+    x = np.ascontiguousarray(x, np.uint64 if wide_ else np.uint32)
+    return len(x), x.itemsize, zlib.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1)
 
 
-def counts(packed: tuple[int, bytes]) -> np.ndarray:
-    n, raw = packed
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, n).T).view(np.uint32).reshape(n)
+def counts(packed: tuple[int, int, bytes]) -> np.ndarray:
+    n, size, raw = packed
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(size, n).T).view(np.uint64 if size == 8 else np.uint32).reshape(n).astype(np.int64)
+
+
+def filled(cut: np.ndarray) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end) of the buckets that have rows; cut says where each begins."""
+    return [(i, a, b) for i, (a, b) in enumerate(zip(cut.tolist(), cut[1:].tolist())) if b > a]
 
 
 LOW = np.uint64((1 << 48) - 1)
@@ -156,5 +162,5 @@ def wide(parts: list) -> np.ndarray:
 
 def by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(order that groups rows by bucket and keeps theirs, where each bucket begins)."""
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")  # 16 bits are sorted by radix
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._exchange import Texts, answer, ask, by_bucket, narrow, wide
+from ._exchange import Texts, answer, ask, by_bucket, filled, narrow, wide
 from ._text import U64, mix, powers, prefix_hashes, range_hashes
 
 SIZE, GRAM = 50, 20
@@ -104,16 +104,14 @@ class Anchors:
 def ask_anchors(buckets: int):
     def question(chunk):
         x = Anchors(chunk, buckets)
-        out = []
-        for a, b in zip(x.cut, x.cut[1:]):
+        for bucket, a, b in filled(x.cut):
             one = x.one[a:b]
-            out.append((narrow(x.hash[one]), narrow(mix(x.around[one])), x.first_id[a:b]))
-        return out
+            yield bucket, (narrow(x.hash[one]), narrow(mix(x.around[one])), x.first_id[a:b])
 
     return question
 
 
-def reply_anchors(payloads):
+def reply_anchors(payloads, _bucket):
     """For each: 1 if its surroundings stand in a document with a smaller id, plus 2 if the anchor has others."""
     anchor, around, ids = wide([p[0] for p in payloads]), wide([p[1] for p in payloads]), np.concatenate([p[2] for p in payloads])
     order = np.lexsort((around, anchor))
@@ -134,12 +132,11 @@ def ask_surroundings(buckets: int):
     def question(chunk, replies):
         x = Anchors(chunk, buckets)
         reply = np.concatenate(replies) if len(x.one) else np.zeros(0, np.uint8)
-        out = []
-        for a, b in zip(x.cut, x.cut[1:]):
+        for bucket, a, b in filled(x.cut):
             pick = np.flatnonzero(reply[a:b] == 2) + a
-            one = x.one[pick]
-            out.append((narrow(x.hash[one]), x.left[one].astype(np.uint8), x.right[one].astype(np.uint8), x.surroundings(one), x.first_id[pick], x.own[one].astype(np.uint32)))
-        return out
+            if len(pick):
+                one = x.one[pick]
+                yield bucket, (narrow(x.hash[one]), x.left[one].astype(np.uint8), x.right[one].astype(np.uint8), x.surroundings(one), x.first_id[pick], x.own[one].astype(np.uint32))
 
     return question
 
@@ -229,7 +226,7 @@ class SuffixSort:
         return order, np.cumsum(new) - 1
 
 
-def reply_surroundings(payloads):
+def reply_surroundings(payloads, _bucket):
     """For each: bit o is set if the string that begins o bytes into the surroundings stands in a document with a smaller id."""
     anchor = wide([p[0] for p in payloads])
     left, right = (np.concatenate([p[i] for p in payloads]).astype(np.int64) for i in (1, 2))
@@ -266,7 +263,8 @@ def cut_chunk(element, buckets: int):
     if len(x.one):
         reply = np.concatenate(replies)
         mask = np.zeros(len(reply), np.uint32)
-        mask[reply == 2] = np.concatenate(masks)
+        if masks:
+            mask[reply == 2] = np.concatenate(masks)
         later = x.ids > x.first_id[x.which]
         whole = np.flatnonzero(later | (reply[x.which] & 1).astype(bool))
         remove(x.at[whole] - x.left[whole], x.at[whole] + x.right[whole])

@@ -60,44 +60,60 @@ def near(rows, percent):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def katz(rows, good_turing):
-    """doc_id -> (n_tokens, n_known, train_tokens, base_score, score)."""
-    import numpy as np
-
+def discounts(counts):
+    """Good-Turing factors d[r] = ((r+1) n[r+1] / (r n[r]) - k) / (1 - k), k = 6 n[6] / n[1], for r = 1..5; else 1 - D / r, D = n1 / (n1 + 2 n2) within 0.1 and 0.9."""
+    n = Counter(counts)
+    part = min(max(n[1] / (n[1] + 2 * n[2]), 0.1), 0.9) if n[1] else 0.5
+    plain = {r: 1 - part / r for r in range(1, 6)}
+    if not all(n[r] for r in range(1, 7)) or 6 * n[6] >= n[1]:
+        return plain
+    k = 6 * n[6] / n[1]
+    d = {r: ((r + 1) * n[r + 1] / (r * n[r]) - k) / (1 - k) for r in range(1, 6)}
+    return d if all(0 < x < 1 for x in d.values()) else plain
+
+
+def katz(rows, checked=40):
+    """doc_id -> (n_tokens, n_known, train_tokens, base_score, score): trigrams over bigrams over unigrams, by recursion on the history."""
     tokens = lambda t: [*words(t), None]
-    unigrams, pairs, history = Counter(), Counter(), Counter()
+    grams = {1: Counter(), 2: Counter(), 3: Counter()}
     for i, t in rows:
-        if zlib.crc32(str(i).encode()) % 5 != 1:
-            before = 0
-            for w in tokens(t):
-                unigrams[w] += 1
-                pairs[before, w] += 1
-                history[before] += 1
-                before = w
-    n, v = sum(unigrams.values()), len(unigrams)
-    p = lambda w: (unigrams[w] + 0.5) / (n + 0.5 * (v + 1))
-    counts = Counter(pairs.values())
-    d = good_turing(np.array([0] + [counts[r] for r in range(1, 7)]))
-    less = lambda c: c * d[c] if c <= 5 else c
+        if i is not None and zlib.crc32(str(i).encode()) % 5 != 1:
+            padded = [0, 0, *tokens(t)]
+            for k in range(2, len(padded)):
+                for order in grams:
+                    grams[order][tuple(padded[k - order + 1 : k + 1])] += 1
+    n, v = sum(grams[1].values()), len(grams[1])
+    d = {order: discounts(grams[order].values()) for order in (2, 3)}
     after = defaultdict(list)
-    for (h, w), c in pairs.items():
-        after[h].append((w, c))
+    for order in (2, 3):
+        for g, c in grams[order].items():
+            after[g[:-1]].append((g[-1], c))
     state = {}
-    for h, found in after.items():
-        kept = sum(less(c) for _, c in found)
-        count = history[h] + 1 if kept >= history[h] - 1e-9 else history[h]
-        state[h] = (count, (1 - kept / count) / (1 - sum(p(w) for w, _ in found)))
-        total = sum(less(c) / count for _, c in found) + state[h][1] * (1 - sum(p(w) for w, _ in found))
-        assert abs(total - 1) < 1e-9
+
+    def left(history):
+        """(divisor, alpha)."""
+        if history not in state:
+            found = after[history]
+            kept, count = sum(c * d[len(history) + 1].get(c, 1) for _, c in found), sum(c for _, c in found)
+            divisor = count + 1 if kept >= count - 1e-9 else count
+            state[history] = divisor, (1 - kept / divisor) / (1 - sum(p(w, history[1:]) for w, _ in found))
+        return state[history]
+
+    def p(w, history):
+        if not history:
+            return (grams[1][w,] + 0.5) / (n + 0.5 * (v + 1))
+        if history not in after:
+            return p(w, history[1:])
+        c = grams[len(history) + 1][(*history, w)]
+        return c * d[len(history) + 1].get(c, 1) / left(history)[0] if c else left(history)[1] * p(w, history[1:])
+
+    for history in sorted(after, key=str)[:: max(1, len(after) // checked)]:  # each distribution sums to one, with one unknown word
+        assert abs(sum(p(w, history) for (w,) in grams[1]) + p("never seen", history) - 1) < 1e-9
     out = {}
     for i, t in rows:
-        before, base, score = 0, 0.0, 0.0
-        for w in tokens(t):
-            base += log10(p(w))
-            c = pairs[before, w]
-            score += log10(less(c) / state[before][0]) if c else log10(state.get(before, (0, 1.0))[1] * p(w))
-            before = w
-        out[i] = (len(tokens(t)), sum(unigrams[w] > 0 for w in tokens(t)), n, base, score)
+        padded = [0, 0, *tokens(t)]
+        scores = [(log10(p(w, ())), log10(p(w, (padded[k], padded[k + 1])))) for k, w in enumerate(padded[2:])]
+        out[i] = (len(scores), sum(grams[1][w,] > 0 for w in padded[2:]), n, sum(a for a, _ in scores), sum(b for _, b in scores))
     return out
 
 

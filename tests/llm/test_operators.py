@@ -151,9 +151,10 @@ def test_removed_repeats_edges(edges, nothing):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
-def test_katz(docs, texts):
-    want = brute.katz(texts, katz.good_turing)
-    got = katz.score_documents(docs).collect()
+@pytest.mark.parametrize("sizes", [(katz.BUCKET_BYTES, katz.SPLIT), (1 << 13, 20)])  # whole words only, or frequent ones split
+def test_katz(docs, texts, sizes):
+    want = brute.katz(texts)
+    got = katz.score_documents(docs, bucket_bytes=sizes[0], split=sizes[1]).collect()
     assert len(got) == len(want)
     for r in got:
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3]
@@ -161,6 +162,16 @@ def test_katz(docs, texts):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1)
 
 
+def test_words_with_one_hash_stay_apart():
+    import numpy as np
+
+    data = np.frombuffer(b"abcabdabcxyzab", np.uint8)
+    starts, ends = np.array([0, 3, 6, 9, 12]), np.array([3, 6, 9, 12, 14])
+    one, kind = katz.distinct_strings(data, starts, ends, np.array([7, 7, 7, 9, 7], np.uint64))
+    assert kind[0] == kind[2] and len({kind[0], kind[1], kind[3], kind[4]}) == 4
+    assert all(data[starts[o] : ends[o]].tobytes() == data[a:b].tobytes() for o, a, b in zip(one[kind], starts, ends))
+
+
 def test_katz_beats_unigrams_on_held_out(docs):
     held = katz.score_documents(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > held[1]

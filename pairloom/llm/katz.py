@@ -31,7 +31,8 @@ from ._text import LOWER, U64, crc32_of_ids, flat, mix, owner, prefix_hashes, ra
 
 END, START = b" ", b"\t"  # no word holds a space
 CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 12 << 20  # of text for each bucket
+BLOCK_BYTES = 1 << 20  # texts are cut into words so many bytes at a time
+BUCKET_BYTES = 6 << 20  # of text for each bucket
 SPLIT = 1000  # words with fewer tokens are never split
 MOST = 5  # counts above are not discounted
 
@@ -65,6 +66,19 @@ def distinct_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, has
     return one, kind
 
 
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As `words`, in blocks of whole texts, so that only the result grows with the chunk."""
+    parts, first, at, n = [], [np.zeros(1, np.int64)], 0, len(offsets) - 1
+    while at < n:
+        stop = min(n, max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, "right")) - 1))
+        low = offsets[at]
+        starts, ends, hashes, own = words(data[low : offsets[stop]], offsets[at : stop + 1] - low)
+        parts.append((starts + low, ends + low, hashes))
+        first.append(own[1:] + first[-1][-1])
+        at = stop
+    return (*(np.concatenate(x) for x in zip(*parts)), np.concatenate(first)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64), first[0])
+
+
 class Tokens:
     """A chunk's documents as token numbers, most frequent first, and the tokens' strings."""
 
@@ -73,7 +87,7 @@ class Tokens:
         self.known = np.array([i is not None for i in ids], bool)
         self.ids = np.array([i if i is not None else 0 for i in ids], np.int64)
         data, offsets = flat(pa.array(texts, pa.string()))
-        starts, ends, hashes, first = words(data, offsets)
+        starts, ends, hashes, first = _words(data, offsets)
         data = LOWER[data]
         one, kind = distinct_strings(data, starts, ends, hashes)
         size = (ends - starts)[one]
@@ -185,6 +199,7 @@ class Trigrams:
             history, of = np.unique(h2 * d + h1, return_inverse=True)
             key, which = np.unique(of * d + tokens, return_inverse=True)
             self.h2, self.h1, self.w = history[key // d] // d, history[key // d] % d, key % d
+        del h1, h2
         train = np.repeat(chunk.trained(), np.diff(first))
         self.times = np.bincount(which, weights=train, minlength=len(key)).astype(np.int64)
         parts = 1 + self.count[self.h2] // hot
@@ -291,6 +306,7 @@ class Table:
         pair = np.zeros(len(w), np.int64)
         pair[np.repeat(split, run)] = np.concatenate([counts(p[7]) for p in payloads])
         first, self.asked, self.history = _keys(history, w)
+        del history, h1
         self.total = np.bincount(self.asked, weights=times, minlength=len(first)).astype(np.int64)
         self.cw = cw[first]
         mine = self.h2[self.history]

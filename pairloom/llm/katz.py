@@ -171,8 +171,11 @@ def reply_words(buckets: int):
     return reply
 
 
-class Trigrams:
-    """The distinct trigrams (h1, h2, w) of a chunk by bucket, then by number of h2, h1 and w."""
+class Numbered:
+    """A chunk's tokens by the words' numbers, with the word before each, and its pairs (h2, w) of split h2 by bucket.
+
+    A word stands for its place among the chunk's words in order of their numbers.
+    """
 
     def __init__(self, chunk: Tokens, replies: list, buckets: int, hot: int):
         _, _, _, hashes = _strings([(chunk.lengths, chunk.strings)])
@@ -182,58 +185,69 @@ class Trigrams:
         by_number = np.argsort(number)
         place = np.empty_like(by_number)
         place[by_number] = np.arange(len(place))
-        self.number, self.count = number[by_number], count[by_number]
-        tokens = place[counts(chunk.tokens)]
-        start, first = place[chunk.start], chunk.first
-        h2, h1 = np.empty_like(tokens), np.empty_like(tokens)
-        h2[1:], h1[2:] = tokens[:-1], tokens[:-2]
-        h2[first[:-1]] = h1[first[:-1]] = start
-        second = first[:-1] + 1
-        h1[second[second < first[1:]]] = start
-        self.tokens, self.first = tokens, first
+        self.number, self.count, self.first = number[by_number], count[by_number], chunk.first
+        self.tokens = place[counts(chunk.tokens)]
+        self.start = place[chunk.start]
+        self.before = np.empty_like(self.tokens)
+        self.before[1:] = self.tokens[:-1]
+        self.before[self.first[:-1]] = self.start
+        self.trained = np.repeat(chunk.trained(), np.diff(self.first))
+        self.spot = mix(self.number.astype(U64))
+        self.parts = (1 + self.count // hot).astype(U64)
+        self.often = self.count >= hot
         d = len(order)
+        mine = np.flatnonzero(self.often[self.before])
+        pair, of = np.unique(self.before[mine] * d + self.tokens[mine], return_inverse=True)
+        self.pair_key, self.pair_h, self.pair_w = pair, pair // d, pair % d
+        self.pair_times = np.bincount(of, weights=self.trained[mine], minlength=len(pair)).astype(np.int64)
+        bucket = ((self.spot[self.pair_h] >> U64(8)) + self.spot[self.pair_w] % self.parts[self.pair_h]) % U64(buckets)
+        self.pair_order, self.pair_cut = by_bucket(bucket.astype(np.int64), buckets)
+
+
+class Trigrams(Numbered):
+    """The distinct trigrams (h1, h2, w) of a chunk by bucket, then by number of h2, h1 and w."""
+
+    def __init__(self, chunk: Tokens, replies: list, buckets: int, hot: int):
+        super().__init__(chunk, replies, buckets, hot)
+        first, h2 = self.first, self.before
+        h1 = np.empty_like(h2)
+        h1[2:] = self.tokens[:-2]
+        h1[first[:-1]] = self.start
+        second = first[:-1] + 1
+        h1[second[second < first[1:]]] = self.start
+        d = len(self.number)
         if d < 1 << 21:
-            key, which = np.unique((h2 * d + h1) * d + tokens, return_inverse=True)
+            key, which = np.unique((h2 * d + h1) * d + self.tokens, return_inverse=True)
             self.h2, self.h1, self.w = key // (d * d), key // d % d, key % d
         else:
             history, of = np.unique(h2 * d + h1, return_inverse=True)
-            key, which = np.unique(of * d + tokens, return_inverse=True)
+            key, which = np.unique(of * d + self.tokens, return_inverse=True)
             self.h2, self.h1, self.w = history[key // d] // d, history[key // d] % d, key % d
-        del h1, h2
-        train = np.repeat(chunk.trained(), np.diff(first))
-        self.times = np.bincount(which, weights=train, minlength=len(key)).astype(np.int64)
-        parts = 1 + self.count[self.h2] // hot
-        spot = mix(self.number.astype(U64))
-        bucket = ((spot[self.h2] >> U64(8)) + spot[self.h1] % parts.astype(U64)) % U64(buckets)
+        del h1, h2, key
+        self.times = np.bincount(which, weights=self.trained, minlength=len(self.w)).astype(np.int64)
+        bucket = ((self.spot[self.h2] >> U64(8)) + self.spot[self.h1] % self.parts[self.h2]) % U64(buckets)
         order, self.cut = by_bucket(bucket.astype(np.int64), buckets)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.which = place[which]
         self.h2, self.h1, self.w, self.times = self.h2[order], self.h1[order], self.w[order], self.times[order]
-        self.split = self.count[self.h2] >= hot
+        self.split = self.often[self.h2]
         # histories: runs of one (h1, h2) in a bucket
         self.begins = np.ones(len(order), bool)
         self.begins[1:] = (self.h2[1:] != self.h2[:-1]) | (self.h1[1:] != self.h1[:-1])
         self.begins[self.cut[:-1][self.cut[:-1] < len(order)]] = True
-        # pairs of split h2, by bucket
-        mine = np.flatnonzero(self.split)
-        pair, self.pair_of = np.unique(self.h2[mine] * d + self.w[mine], return_inverse=True)
-        self.pair_h, self.pair_w = pair // d, pair % d
-        self.pair_times = np.bincount(self.pair_of, weights=self.times[mine], minlength=len(pair)).astype(np.int64)
-        bucket = ((spot[self.pair_h] >> U64(8)) + spot[self.pair_w] % (1 + self.count[self.pair_h] // hot).astype(U64)) % U64(buckets)
-        self.pair_order, self.pair_cut = by_bucket(bucket.astype(np.int64), buckets)
 
     def pair_counts(self, replies: list) -> np.ndarray:
         """Corpus count of (h2, w) of each trigram whose h2 is split, in their order."""
-        out = np.zeros(len(self.pair_h), np.int64)
+        out = np.zeros(len(self.pair_key), np.int64)
         if len(out):
             out[self.pair_order] = np.concatenate([counts(r) for r in replies])
-        return out[self.pair_of]
+        return out[np.searchsorted(self.pair_key, self.h2[self.split] * len(self.number) + self.w[self.split])]
 
 
 def ask_pairs(buckets: int, hot: int):
     def question(chunk, replies):
-        t = Trigrams(chunk, replies, buckets, hot)
+        t = Numbered(chunk, replies, buckets, hot)
         for bucket, a, b in filled(t.pair_cut):
             own = t.pair_order[a:b]
             h, w = t.pair_h[own], t.pair_w[own]

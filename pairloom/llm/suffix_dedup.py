@@ -10,7 +10,10 @@ Two exchanges decide what is removed:
    by binary search for their common extension. Neighbours that seem to share `size` bytes are verified on the
    bytes; each class of equal strings learns its smallest document.
 
-A string in any number of documents costs an exchange one entry a chunk, its surroundings one entry in all.
+A string in any number of documents costs an exchange one entry a chunk, its surroundings one entry in all. The surroundings of an
+anchor that has more than `split` of them are not sorted together: each of their strings goes to a bucket by its own hash, where equal
+strings meet, so no task grows with what one anchor has. The first exchange compares by hashes of 48 bits of the anchor and 48
+of the surroundings; the second, which judges single strings, verifies bytes.
 """
 
 from __future__ import annotations
@@ -22,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._exchange import Texts, answer, ask, by_bucket, filled, narrow, wide
-from ._text import U64, mix, powers, prefix_hashes, range_hashes
+from ._text import BYTE_VALUE, U64, mix, powers, prefix_hashes, range_hashes
 
 SIZE, GRAM = 50, 20
 SHIFTS = SIZE - GRAM + 1  # anchors of a string, and strings around an anchor
 LEFT, RIGHT = SIZE - GRAM, SIZE
 WIDE = LEFT + RIGHT
-CHUNK_BYTES, BLOCK_BYTES = 8 << 20, 1 << 20
+CHUNK_BYTES, BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20, 8 << 20
+SPLIT = 1 << 14  # surroundings of an anchor that are sorted together at most
 
 
 def _slide(x: np.ndarray, width: int, least) -> np.ndarray:
@@ -87,9 +91,10 @@ class Anchors:
         right = np.minimum(ends[doc] - at, RIGHT)
         around = range_hashes(prefix, at - left, at + right) + ((left << 8) + right).astype(U64)
         # bit o: the string that begins o bytes into the surroundings has this anchor as its least
-        own = np.zeros(len(at), U64)
-        for o in range(SHIFTS):
-            own |= (padded[at + o] == gram[at]).astype(U64) << U64(o)
+        around_at = np.lib.stride_tricks.sliding_window_view(padded, SHIFTS)
+        bits = np.zeros((len(at), 32), bool)
+        bits[:, :SHIFTS] = around_at[at] == gram[at, None]
+        own = np.packbits(bits, axis=1, bitorder="little").view("<u4")[:, 0].astype(U64)
         return doc + a, at + base, left, right, gram[at], around, own
 
     def surroundings(self, anchor: np.ndarray) -> np.ndarray:
@@ -111,32 +116,46 @@ def ask_anchors(buckets: int):
     return question
 
 
-def reply_anchors(payloads, _bucket):
-    """For each: 1 if its surroundings stand in a document with a smaller id, plus 2 if the anchor has others."""
-    anchor, around, ids = wide([p[0] for p in payloads]), wide([p[1] for p in payloads]), np.concatenate([p[2] for p in payloads])
-    order = np.lexsort((around, anchor))
-    a, c = anchor[order], around[order]
-    new_anchor = np.append(True, a[1:] != a[:-1])[: len(a)]
-    new = new_anchor | np.append(True, c[1:] != c[:-1])[: len(a)]
-    out = np.zeros(len(a), np.uint8)
-    if len(a):
+def reply_anchors(split: int):
+    """For each: 1 if its surroundings stand in a document with a smaller id, plus 2 if the anchor has others, plus 4 if it has more than `split`."""
+
+    def reply(payloads, _bucket):
+        anchor, around, ids = wide([p[0] for p in payloads]), wide([p[1] for p in payloads]), np.concatenate([p[2] for p in payloads])
+        order = np.lexsort((around, anchor))
+        a, c = anchor[order], around[order]
+        new_anchor = np.append(True, a[1:] != a[:-1])
+        new = new_anchor | np.append(True, c[1:] != c[:-1])
         first = np.flatnonzero(new)
-        of = np.cumsum(new) - 1
-        smaller = np.minimum.reduceat(ids[order], first)[of] < ids[order]
+        smaller = np.minimum.reduceat(ids[order], first)[np.cumsum(new) - 1] < ids[order]
         kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_anchor))[np.cumsum(new_anchor) - 1]
-        out[order] = smaller + 2 * (kinds > 1).astype(np.uint8)
-    return np.split(out, np.cumsum([len(p[2]) for p in payloads])[:-1])
+        out = np.empty(len(a), np.uint8)
+        out[order] = smaller + 2 * (kinds > 1).astype(np.uint8) + 4 * (kinds > split).astype(np.uint8)
+        return np.split(out, np.cumsum([len(p[2]) for p in payloads])[:-1])
+
+    return reply
+
+
+def _judged(x: Anchors, reply: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct anchor, bits of its strings, where each bucket begins) of what the second exchange is asked, by bucket."""
+    plain, often = np.flatnonzero(reply == 2), np.flatnonzero(reply == 6)
+    parts = [(plain, x.own[x.one[plain]], np.searchsorted(x.cut, plain, "right") - 1)]
+    for o in range(SHIFTS if len(often) else 0):
+        which = often[(x.own[x.one[often]] >> U64(o) & U64(1)).astype(bool)]
+        strings = x.data[(x.at[x.one[which]] - LEFT + o)[:, None] + np.arange(SIZE)]
+        bucket = mix((BYTE_VALUE[strings] * powers(SIZE)).sum(axis=1, dtype=U64)) % U64(buckets)
+        parts.append((which, np.full(len(which), 1 << o, U64), bucket.astype(np.int64)))
+    which, own, bucket = (np.concatenate(p) for p in zip(*parts))
+    order, cut = by_bucket(bucket, buckets)
+    return which[order], own[order], cut
 
 
 def ask_surroundings(buckets: int):
     def question(chunk, replies):
         x = Anchors(chunk, buckets)
-        reply = np.concatenate(replies) if len(x.one) else np.zeros(0, np.uint8)
-        for bucket, a, b in filled(x.cut):
-            pick = np.flatnonzero(reply[a:b] == 2) + a
-            if len(pick):
-                one = x.one[pick]
-                yield bucket, (narrow(x.hash[one]), x.left[one].astype(np.uint8), x.right[one].astype(np.uint8), x.surroundings(one), x.first_id[pick], x.own[one].astype(np.uint32))
+        which, own, cut = _judged(x, np.concatenate(replies) if replies else np.zeros(0, np.uint8), buckets)
+        for bucket, a, b in filled(cut):
+            one = x.one[which[a:b]]
+            yield bucket, (narrow(x.hash[one]), x.left[one].astype(np.uint8), x.right[one].astype(np.uint8), x.surroundings(one), x.first_id[which[a:b]], own[a:b].astype(np.uint32))
 
     return question
 
@@ -264,7 +283,8 @@ def cut_chunk(element, buckets: int):
         reply = np.concatenate(replies)
         mask = np.zeros(len(reply), np.uint32)
         if masks:
-            mask[reply == 2] = np.concatenate(masks)
+            which, _, _ = _judged(x, reply, buckets)
+            np.bitwise_or.at(mask, which, np.concatenate(masks))
         later = x.ids > x.first_id[x.which]
         whole = np.flatnonzero(later | (reply[x.which] & 1).astype(bool))
         remove(x.at[whole] - x.left[whole], x.at[whole] + x.right[whole])
@@ -284,17 +304,17 @@ def cut_chunk(element, buckets: int):
         yield int(chunk.ids[i]) if chunk.known[i] else None, b - a, int(total[b] - total[a]), int(spans[b] - spans[a]), kept.tobytes()
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False, bucket_bytes: int = BUCKET_BYTES, split: int = SPLIT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes if asked), one row per row of docs.
 
     Null texts are empty; texts under 50 bytes are kept. Rows that share a doc_id do not remove one another's
     bytes, a null doc_id neither removes nor loses any. Strings are judged on the input. Other columns are ignored; an
-    empty table gives an empty result. Memory: a task holds a chunk of about 8 MB with its anchors, or a bucket's share of all anchors.
+    empty table gives an empty result. Memory: a task holds a chunk of about 8 MB with its anchors, or a bucket: the anchors of about `bucket_bytes` of text.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = Texts(docs, CHUNK_BYTES)
-    buckets = max(8, 2 * texts.sources)
-    judged = answer(ask(texts.beside(), ask_anchors(buckets), buckets), texts, reply_anchors, 0)
+    buckets = max(8, -(-texts.bytes // bucket_bytes))
+    judged = answer(ask(texts.beside(), ask_anchors(buckets), buckets), texts, reply_anchors(split), 0)
     masks = answer(ask(texts.beside(judged), ask_surroundings(buckets), buckets), texts, reply_surroundings, 1)
 
     def rows(element):

@@ -139,8 +139,9 @@ def test_removed_repeats_with_many_surroundings(spark):
         piece = shared[a : a + r.randint(40, 80)] if r.random() < 0.8 else "ab " * 40
         rows.append((i, "".join(r.choice("éxyz") for _ in range(r.randint(0, 40))) + piece + "".join(r.choice("xyz") for _ in range(r.randint(0, 40)))))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.remove_repeats(df).collect()}
-    assert got == brute.repeats(rows)
+    for split in (suffix_dedup.SPLIT, 3):  # sorted by anchor, or frequent anchors by string
+        got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.remove_repeats(df, split=split).collect()}
+        assert got == brute.repeats(rows)
 
 
 def test_removed_repeats_edges(edges, nothing):

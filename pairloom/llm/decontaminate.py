@@ -14,6 +14,7 @@ The items are the stated query set: they are taken in blocks, so what is sent to
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,8 @@ ANSWER_WORDS, ANSWER_SHARE = 5, 0.8
 LEXICAL = 0.75
 #: Cells of texts by items that the lexical route counts at a time.
 CELLS = 1 << 22
-ITEMS = 20000
+#: Items of a block, and their words at most: what is sent, summed up and collected has a row for each distinct word.
+ITEMS, ITEM_WORDS = 20000, 1 << 17
 SPAN = 256
 
 
@@ -136,7 +138,7 @@ class Items:
         self.held, self.index = np.array([len(w) for w in rare], float), Index(rare)
 
     def lexical(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, bool]]:
-        """(text, item, whether the answer stands in the text) of every pair that the verification can accept."""
+        """(text, item, whether the answer stands in the text) of every pair that the verification can accept; first: where texts (here, sections) begin."""
         n, step = len(self.size), max(1, CELLS // len(self.size))
         asked = np.array([len(x) or 1 for x in self.answers], float)
         for low in range(0, len(first) - 1, step):
@@ -232,19 +234,25 @@ def _stride_sums(stride: np.ndarray, word: np.ndarray, n: int, table: np.ndarray
 def _count(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = sent.value
+        wide = max(1, len(items.vocabulary))
         total, passages = np.zeros(len(items.vocabulary), np.int64), 0
         for piece in chunks(batches):
             _, _, hashes, first = words(*flat(piece.column(1)))
             start, end, doc = _strides(first)
             a, b = _pairs_of(doc)
             stride, word = _stride_words(items, hashes, start)
-            left = np.full(len(start), -1)
-            right = np.full(len(start), -1)
-            left[a] = np.arange(len(a))  # the passage that begins with this stride
-            right[b[b >= 0]] = np.flatnonzero(b >= 0)  # and the one that ends with it
-            key = np.concatenate([left[stride], right[stride]]) * max(1, len(total)) + np.concatenate([word, word])
-            key = np.unique(key[key >= 0])
-            total += np.bincount(key % max(1, len(total)), minlength=len(total))
+            within = np.zeros(len(start), np.int64)  # passages that a stride is part of
+            within[a] += 1
+            within[b[b >= 0]] += 1
+            total += np.bincount(word, weights=within[stride], minlength=len(total)).astype(np.int64)
+            # a word of both strides of a passage was counted twice
+            follows = np.zeros(len(start), bool)
+            follows[a] = b >= 0
+            key = stride * wide + word
+            mine = np.flatnonzero(follows[stride])
+            at = np.searchsorted(key, key[mine] + wide)
+            at[at == len(key)] = 0
+            total -= np.bincount(word[mine[key[at] == key[mine] + wide]], minlength=len(total))
             passages += len(a)
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(hit, -1), pa.int32()), pa.array(np.append(total[hit], passages), pa.int64())], names=["word", "n"])
@@ -252,8 +260,8 @@ def _count(sent):
     return run
 
 
-def _product(sent):
-    """Each task's A'(A W), in slices of SPAN rows."""
+def _product(sent, groups: int):
+    """Each task's A'(A W), in slices of SPAN rows: those rows whose word the task has seen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = sent.value
@@ -281,36 +289,72 @@ def _product(sent):
                 out[grouped] += np.add.reduceat(back[stride[order]], begin, axis=0)
         out *= weights[:, None]
         part = TaskContext.get().partitionId()
-        slices = range(0, len(out), SPAN)
-        yield pa.RecordBatch.from_arrays([pa.array([s // SPAN for s in slices], pa.int32()), pa.array([part % 64] * len(slices), pa.int32()), pa.array([out[s : s + SPAN].tobytes() for s in slices], pa.binary())], names=["slice", "part", "rows"])
+        seen = out.any(axis=1)
+        for low in range(0, len(out), SPAN):
+            own = np.flatnonzero(seen[low : low + SPAN])
+            if len(own):
+                yield pa.RecordBatch.from_arrays([pa.array([low // SPAN], pa.int32()), pa.array([part % groups], pa.int32()), pa.array([own.astype(np.int32).tobytes()], pa.binary()), pa.array([out[low + own].tobytes()], pa.binary())], schema=_PART)
 
     return run
 
 
-def _summed(parts: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), np.float64) for x in parts.column("rows"))
-    return pa.table([[parts.column("slice")[0].as_py()], [parts.column("part")[0].as_py()], [total.tobytes()]], schema=pa.schema([("slice", pa.int32()), ("part", pa.int32()), ("rows", pa.binary())]))
+_PART = pa.schema([("slice", pa.int32()), ("part", pa.int32()), ("words", pa.binary()), ("rows", pa.binary())])
 
 
-def _multiply(docs: DataFrame, items: Items) -> np.ndarray:
-    """A'(A W) for W = items.space over all passages; the driver gets a vocabulary x rank matrix."""
+def _summed(parts: pa.Table) -> pa.Table:
+    """One row that adds up the rows of a slice, a word at a time; a group has at most the square root of all tasks' parts."""
+    total = None
+    for at, rows in zip(parts.column("words"), parts.column("rows")):
+        at, rows = np.frombuffer(at.as_py(), np.int32), np.frombuffer(rows.as_py(), np.float64)
+        rows = rows.reshape(len(at), -1)
+        if total is None:
+            total, seen = np.zeros((SPAN, rows.shape[1])), np.zeros(SPAN, bool)
+        total[at] += rows
+        seen[at] = True
+    own = np.flatnonzero(seen)
+    return pa.table([[parts.column("slice")[0].as_py()], [parts.column("part")[0].as_py()], [own.astype(np.int32).tobytes()], [total[own].tobytes()]], schema=_PART)
+
+
+def _multiply(docs: DataFrame, items: Items, groups: int) -> np.ndarray:
+    """A'(A W) for W = items.space over all passages; the driver gets a vocabulary x rank matrix, which the block's words bound."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
-    shape = "slice int, part int, rows binary"
-    parts = docs.mapInArrow(_product(sent), shape).groupBy("slice", "part").applyInArrow(_summed, shape).groupBy("slice").applyInArrow(_summed, shape)
-    rows = sorted((r["slice"], bytes(r["rows"])) for r in parts.collect())
-    return np.concatenate([np.frombuffer(b, np.float64) for _, b in rows]).reshape(items.space.shape) if rows else np.zeros(items.space.shape)
+    shape = "slice int, part int, words binary, rows binary"
+    parts = docs.mapInArrow(_product(sent, groups), shape).groupBy("slice", "part").applyInArrow(_summed, shape).groupBy("slice").applyInArrow(_summed, shape)
+    out = np.zeros(items.space.shape)
+    for r in parts.collect():
+        at = r["slice"] * SPAN + np.frombuffer(bytes(r["words"]), np.int32)
+        out[at] = np.frombuffer(bytes(r["rows"]), np.float64).reshape(len(at), -1)
+    return out
 
 
 _ROW = pa.schema([("doc_id", pa.int64()), ("item", pa.int32()), ("cosine", pa.float64()), ("common", pa.float64()), ("answer", pa.bool_())])
 
 
+def _sections(first: np.ndarray, step: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, one past the last) of sections of each text: `step` words and `reach` more; a text of up to step + reach words is one."""
+    size = np.diff(first)
+    count = np.where(size > step + reach, -(-size // step), 1)
+    text = np.repeat(np.arange(len(size)), count)
+    begin = first[text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count))
+    return text, begin, np.where(count[text] > 1, np.minimum(begin + step + reach, first[text + 1]), first[text + 1])
+
+
 def _retrieve(sent, cosine: float):
+    """Finds candidates by both routes and verifies them, a section of a text and an item at a time.
+
+    A passage is judged with as many words before and behind it as the item has. That window begins in one
+    section's first `step` words and, as `reach` is the longest window, lies in the section.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = sent.value
         table = (items.space * items.idf[:, None]).astype(np.float32)
         known = [w.tolist() for w in items.numbers]
+        counted = [np.unique(w, return_counts=True) for w in items.numbers]
         local = np.full(len(items.all_words), -1)
         enough = REACH * items.length
+        reach = 2 * STRIDE + 2 * int(items.size.max())
+        step = max(512, 2 * reach)
         for piece in chunks(batches):
             _, _, hashes, first = words(*flat(piece.column(1)))
             start, end, of = _strides(first)
@@ -319,49 +363,63 @@ def _retrieve(sent, cosine: float):
             a, b = _pairs_of(of)
             z, doc = sums[a], of[a]
             z[b >= 0] += sums[b[b >= 0]]
-            least = np.maximum(cosine * np.linalg.norm(z, axis=1), 1e-9)
-            wanted: dict[tuple[int, int], bool] = {}  # whether the answer may stand in the text
+            begins, ends = start[a], end[np.where(b >= 0, b, a)]
+            norm = np.linalg.norm(z, axis=1)
+            least = np.maximum(cosine * norm, 1e-9)
+            text, low, high = _sections(first, step, reach)
+            section_of = np.searchsorted(text, np.arange(len(first)))  # a text's first section
+            many = np.diff(section_of) > 1
+            wanted: dict[tuple[int, int], bool] = {}  # (section, item): whether the answer may stand there
             for at in range(0, len(a), 4096):
                 near = z[at : at + 4096] @ items.vectors  # how far the passage reaches along the item
-                p, q = np.nonzero((near >= least[at : at + 4096, None]) & (near >= enough))
+                p, q = np.divmod(np.flatnonzero(near >= np.maximum(least[at : at + 4096, None], enough)), near.shape[1])
                 both = items.shared(q, a[at + p], stride, word) + np.where(b[at + p] >= 0, items.shared(q, b[at + p], stride, word), 0)
                 real = both >= SHARED * items.known_words[q]
-                wanted.update(dict.fromkeys(zip(doc[at + p[real]].tolist(), items.item_of[q[real]].tolist()), True))
-            wanted.update(((d, i), answer) for d, i, answer in items.lexical(hashes, first))
+                p, q = at + p[real], items.item_of[q[real]]
+                begin = np.maximum(begins[p] - items.size[q] - first[doc[p]], 0)
+                wanted.update(dict.fromkeys(zip((section_of[doc[p]] + np.where(many[doc[p]], begin // step, 0)).tolist(), q.tolist()), True))
+            inside = np.arange(int((high - low).sum())) + np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low)
+            for k, i, answer in items.lexical(hashes[inside], np.concatenate(([0], np.cumsum(high - low)))):
+                wanted[k, i] = wanted.get((k, i), False) or answer
             place, number = _find(items.all_words, items.all_bits, hashes)
-            last = end[np.where(b >= 0, b, a)]
+            spans = np.searchsorted(place, np.stack((low, high))).T.tolist()
+            passages = np.searchsorted(doc, np.arange(len(first)))
             best: dict[tuple[int, int], tuple] = {}
-            for d, i in sorted(wanted):
-                n, x, y = len(known[i]), *np.searchsorted(place, first[d : d + 2])
-                own, times = np.unique(items.numbers[i], return_counts=True)
+            for k, i in sorted(wanted):
+                d, n, (x, y) = int(text[k]), len(known[i]), spans[k]
+                own, times = counted[i]
                 local[own] = np.arange(len(own))
                 word_of = local[number[x:y]]
                 local[own] = -1
                 mine = np.flatnonzero(word_of >= 0)
+                rows = np.arange(passages[d], passages[d + 1])
+                lo, hi = np.maximum(begins[rows] - n, first[d]), np.minimum(ends[rows] + n, first[d + 1])
+                if many[d]:
+                    here = (lo >= low[k]) & (lo < low[k] + step)
+                    rows, lo, hi = rows[here], lo[here], hi[here]
                 before = np.zeros((len(mine) + 1, len(own)), np.int32)
                 before[np.arange(1, len(mine) + 1), word_of[mine]] = 1
                 before = np.cumsum(before, axis=0, dtype=np.int32)
-                rows = np.arange(*np.searchsorted(doc, [d, d + 1]))
-                lo, hi = np.maximum(start[a[rows]] - n, first[d]), np.minimum(last[rows] + n, first[d + 1])
                 left, right = np.searchsorted(place[x:y][mine], lo), np.searchsorted(place[x:y][mine], hi)
                 holds = np.minimum(before[right] - before[left], times).sum(axis=1)  # no subsequence is longer
-                least_share = PARAPHRASE if wanted[d, i] else COPY
+                least_share = PARAPHRASE if wanted[k, i] else COPY
                 done = set()
-                for k in np.argsort(-holds, kind="stable").tolist():
-                    if holds[k] / n < least_share or (d, i) in best and holds[k] / n <= best[d, i][1]:
+                for j in np.argsort(-holds, kind="stable").tolist():
+                    if holds[j] / n < least_share or (d, i) in best and holds[j] / n <= best[d, i][1]:
                         break
-                    if (window := (int(lo[k]), int(hi[k]))) in done:
+                    if (window := (int(lo[j]), int(hi[j]))) in done:
                         continue
                     done.add(window)
-                    answer = wanted[d, i] and bool(np.isin(items.answers[i], hashes[slice(*window)]).mean() >= ANSWER_SHARE)
-                    if holds[k] / n < COPY and not answer:
+                    answer = wanted[k, i] and bool(np.isin(items.answers[i], hashes[slice(*window)]).mean() >= ANSWER_SHARE)
+                    if holds[j] / n < COPY and not answer:
                         continue
-                    common = lcs_length(known[i], number[x:y][mine[left[k] : right[k]]].tolist()) / n
+                    common = lcs_length(known[i], number[x:y][mine[left[j] : right[j]]].tolist()) / n
                     if (common >= COPY or common >= PARAPHRASE and answer) and common > best.get((d, i), (0, 0))[1]:
                         best[d, i] = 0.0, common, answer
-                if (d, i) in best:
-                    near = (z[rows] @ items.vectors[:, items.item_of == i]).max(axis=1) / np.maximum(np.linalg.norm(z[rows], axis=1), 1e-9)
-                    best[d, i] = float(near.max()), *best[d, i][1:]
+            for d, i in best:
+                rows = np.arange(passages[d], passages[d + 1])
+                near = (z[rows] @ items.vectors[:, items.item_of == i]).max(axis=1) / np.maximum(norm[rows], 1e-9)
+                best[d, i] = float(near.max()), *best[d, i][1:]
             ids = piece.column(0).to_pylist()
             yield batch(_ROW, [ids[d] for d, _ in best], [i for _, i in best], *(list(x) for x in (zip(*best.values()) if best else ((), (), ()))))
 
@@ -370,6 +428,7 @@ def _retrieve(sent, cosine: float):
 
 def _of_block(docs: DataFrame, items: Items, rank: int, cosine: float, seed: int = 5) -> DataFrame:
     spark = docs.sparkSession
+    groups = math.isqrt(docs.rdd.getNumPartitions()) + 1
     counted = docs.mapInArrow(_count(spark.sparkContext.broadcast(items)), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     n = {r["word"]: r["n"] for r in counted}
     seen = np.array([n.get(i, 0) for i in range(len(items.vocabulary))], float)
@@ -380,7 +439,7 @@ def _of_block(docs: DataFrame, items: Items, rank: int, cosine: float, seed: int
     column = [items.known(w) for w in items.words]
     weights = [items.idf[c] / max(np.linalg.norm(items.idf[c]), 1e-9) for c in column]
     for _ in range(2):
-        product = _multiply(docs, items)
+        product = _multiply(docs, items, groups)
         for c, v in zip(column, weights):
             np.add.at(product, c, v[:, None] * (v @ items.space[c]))
         basis, values, _ = np.linalg.svd(product, full_matrices=False)
@@ -394,7 +453,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     common is the longest common subsequence as a share of the item's words. Null or empty texts and items, and items without
     words, match nothing; rows with a null doc_id are not reported. Repeated documents or items are found as one. Other columns are ignored;
-    an empty table on either side gives an empty result.
+    an empty table on either side gives an empty result. The lexical route finds whatever the verification accepts, so the
+    rows and all columns but cosine do not depend on which items share a block.
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -403,11 +463,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     def blocks() -> Iterator[list]:
         rows: list = []
+        held = 0
         for r in chosen.toLocalIterator():
-            rows.append(r)
-            if len(rows) == block:
+            size = len(r["text"].split()) + 1
+            if rows and (len(rows) == block or held + size > ITEM_WORDS):
                 yield rows
-                rows = []
+                rows, held = [], 0
+            rows.append(r)
+            held += size
         if rows:
             yield rows
 

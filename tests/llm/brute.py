@@ -165,3 +165,32 @@ def best_fit(lengths, window):
         else:
             fill.append(n)
     return sorted(fill)
+
+
+def common(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def contaminated(texts, items):
+    """(doc, item) -> share: every item against every passage of 32 words, 16 apart, with as many words around it as the item has."""
+    out = {}
+    for d, text in texts:
+        w = words(text)
+        strides = [(a, min(a + 16, len(w))) for a in range(0, len(w), 16)]
+        passages = [(x[0], y[1]) for x, y in zip(strides, strides[1:])] or strides
+        for i, item, answer in items:
+            own, asked = words(item), words(answer)
+            for a, b in passages if own else ():
+                window = w[max(0, a - len(own)) : b + len(own)]
+                share = common(own, window) / len(own)
+                answered = bool(asked) and sum(x in set(window) for x in asked) / len(asked) >= 0.8
+                if share >= 0.6 or share >= 0.4 and answered:
+                    out[d, i] = max(share, out.get((d, i), 0))
+    return out

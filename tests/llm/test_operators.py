@@ -455,3 +455,27 @@ def test_contamination_by_paraphrase(spark):
     got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(df, bench).collect()}
     assert got == {(i, i) for i in range(6)}
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0 and decontaminate.contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_contamination_is_what_exhaustive_search_finds(spark):
+    """Copies with words left out, changed and put in, in short texts and in ones of several sections; repeated rows, ties, clashing columns."""
+    r = random.Random(21)
+    language = [f"{a}{b}{k}" for k in range(40) for a in "bcdfg" for b in "aeiou"]
+    items = []
+    for i in range(14):
+        w = [r.choice(language[: 60 if i % 3 else 1000]) for _ in range(r.randint(12, 45))]
+        items.append((i, " ".join(w), " ".join(r.sample(w, 3))))
+    rows = []
+    for d in range(70):
+        w = items[r.randrange(14)][1].split()
+        kept = [x if r.random() < r.choice((0.4, 0.55, 0.7, 0.95)) else r.choice(language) for x in w if r.random() < 0.9]
+        before = [r.choice(language) for _ in range(r.choice((0, 20, 90, 1500)))]
+        rows.append((d, " ".join([*before, *kept, *(r.choice(language) for _ in range(r.choice((0, 40, 700))))]), 7.0, "x"))
+    rows += [rows[3], (100, None, 1.0, "y"), (101, "", 1.0, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, cosine double, item_id string").repartition(3)
+    bench = spark.createDataFrame([*items, items[2]], "item_id long, text string, reply string")
+    want = brute.contaminated([r[:2] for r in rows], items)
+    for block in (20000, 3):
+        got = {(x.doc_id, x.item_id): x.common for x in decontaminate.contaminated(docs, bench, answer="reply", block=block).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    assert len(want) > 30

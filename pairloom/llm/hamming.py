@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ._spark import cut
 
 SEGMENTS, BITS = 4, 16
-BLOCK, QUERY_BLOCK = 1 << 16, 128
+BLOCK, QUERY_BLOCK = 1 << 16, 512
 U64 = np.uint64
 
 

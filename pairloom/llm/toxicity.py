@@ -1,10 +1,12 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are a text's distinct words and their first four, five and six bytes (inflected stems), hashed into
-buckets. Buckets that tell the classes apart on the training sample (chi-square) become the machine's
-features; it learns a weight for each and, through factor vectors, one for each pair (an insult with a group mention),
-which a sum of weights cannot express. Fitting uses a bounded sample; scoring is one pass over all texts
-without a shuffle, with the bounded model sent to the tasks.
+buckets. The buckets that tell the classes apart on the training sample (chi-square) become the machine's
+features, and so do its most frequent buckets, whatever they tell on their own: a mention of a group may matter only beside
+an insult. The machine learns a weight for each and, through factor vectors, one for each pair, which a sum of
+weights cannot express. Fitting uses a bounded sample, whose terms are counted by Spark: the driver gets those of the chosen
+buckets only, at most sample x (TERMS + FREQUENT) numbers. Scoring is one pass over all texts without a shuffle, with the
+bounded model sent to the tasks.
 """
 
 from __future__ import annotations
@@ -17,12 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._labels import labelled_sample
-from ._spark import batch, chunks
+from ._spark import batch, chunks, cut
 from ._text import LOWER, U64, flat, mix, owner, prefix_hashes, range_hashes, words
 
 BUCKETS = 1 << 20
 SAMPLE = 12000
-TERMS = 4000
+TERMS, FREQUENT = 4000, 500
+LEAST, CHANCE = 4, 10.8  # texts of a term; chi-square that one in a thousand reaches by chance
 _MARKS = np.zeros(256, bool)
 _MARKS[list(b".,;:!?*#$%&\"')(|")] = True
 
@@ -81,10 +84,11 @@ class FactorizationMachine:
                 take = np.arange(int(lengths.sum())) + np.repeat(first[rows] - (np.cumsum(lengths) - lengths), lengths)
                 d, f = np.repeat(np.arange(len(rows)), lengths), feature[take]
                 own = self.v[f]
-                sums = np.zeros((len(rows), self.v.shape[1]))
-                np.add.at(sums, d, own)
-                squares = np.zeros_like(sums)
-                np.add.at(squares, d, own**2)
+                some = np.flatnonzero(lengths)
+                sums, squares = np.zeros((len(rows), self.v.shape[1])), np.zeros((len(rows), self.v.shape[1]))
+                if len(some):
+                    begin = (np.cumsum(lengths) - lengths)[some]
+                    sums[some], squares[some] = np.add.reduceat(own, begin), np.add.reduceat(own**2, begin)
                 z = self.bias + np.bincount(d, weights=self.w[f], minlength=len(rows)) + 0.5 * (sums**2 - squares).sum(axis=1)
                 error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)
                 g = error.sum()
@@ -92,9 +96,10 @@ class FactorizationMachine:
                 self.bias -= self.rate * g / np.sqrt(gb)
                 touched, place = np.unique(f, return_inverse=True)
                 dw = np.bincount(place, weights=error[d], minlength=len(touched)) + self.ridge * self.w[touched]
-                dv = np.zeros((len(touched), self.v.shape[1]))
-                np.add.at(dv, place, error[d][:, None] * (sums[d] - own))
-                dv += self.ridge * self.v[touched]
+                dv = self.ridge * self.v[touched]
+                if len(touched):
+                    by = np.argsort(place, kind="stable")
+                    dv += np.add.reduceat((error[d][:, None] * (sums[d] - own))[by], np.searchsorted(place[by], np.arange(len(touched))))
                 gw[touched] += dw**2
                 gv[touched] += dv**2
                 self.w[touched] -= self.rate * dw / np.sqrt(gw[touched])
@@ -110,20 +115,13 @@ def _distinct(doc: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndar
 class ToxicityModel:
     """Feature table (bucket -> feature or -1) and the machine on it."""
 
-    def __init__(self, doc: np.ndarray, bucket: np.ndarray, y: np.ndarray, most: int = TERMS, least: int = 4):
-        n, positive = len(y), float(y.sum())
-        seen = np.bincount(bucket, minlength=BUCKETS).astype(float)
-        toxic = np.bincount(bucket, weights=y[doc], minlength=BUCKETS) if n else seen
-        expected = seen * positive / max(n, 1)
-        chi = (toxic - expected) ** 2 / np.maximum(expected * (1 - seen / max(n, 1)), 1e-9)
-        chi[(seen < least) | (chi < 10.8)] = 0  # one in a thousand by chance
-        best = np.argsort(-chi, kind="stable")[:most]
-        best = best[chi[best] > 0]
+    def __init__(self, chosen: np.ndarray, doc: np.ndarray, bucket: np.ndarray, y: np.ndarray):
+        """chosen: the buckets that are features; doc, bucket: the terms of the sample, whose labels are y."""
         self.table = np.full(BUCKETS, -1, np.int32)
-        self.table[best] = np.arange(len(best))
+        self.table[chosen] = np.arange(len(chosen))
         feature = self.table[bucket]
         mine = feature >= 0
-        self.machine = FactorizationMachine(len(best)).fit(doc[mine], feature[mine], y)
+        self.machine = FactorizationMachine(len(chosen)).fit(*_distinct(doc[mine], feature[mine]), y)
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         doc, bucket = terms(data, offsets)
@@ -137,7 +135,7 @@ _TERMS = pa.schema([("target", pa.int32()), ("buckets", pa.list_(pa.int32()))])
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", sample: int = SAMPLE, learn: str = "true") -> ToxicityModel:
-    """The model fitted on at most `sample` labelled documents (their terms come to the driver)."""
+    """The model fitted on at most `sample` labelled documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches):
@@ -145,12 +143,28 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", sample: int =
             first = np.searchsorted(doc, np.arange(piece.num_rows + 1))
             yield batch(_TERMS, piece.column(2), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(bucket, pa.int32())))
 
-    rows = labelled_sample(docs, labels, target, sample, learn).mapInArrow(run, "target int, buckets array<int>").toArrow()
-    lists = rows.column("buckets").combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
-    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    rows = cut(labelled_sample(docs, labels, target, sample, learn).mapInArrow(run, "target int, buckets array<int>"))
+    n, positive = rows.agg(F.count("*"), F.coalesce(F.sum("target"), F.lit(0))).first()
+    seen = rows.select("target", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("seen"), F.sum("target").alias("toxic")).where(f"seen >= {LEAST}")
+    share = positive / max(n, 1)
+    chi = f"power(toxic - seen * {share}D, 2) / greatest(seen * {share}D * (1 - seen / {max(n, 1)}D), 1e-9D)"
+    told = seen.withColumn("chi", F.expr(chi)).where(f"chi >= {CHANCE}").orderBy(F.desc("chi"), "bucket").limit(TERMS)
+    often = seen.orderBy(F.desc("seen"), "bucket").limit(FREQUENT)
+    chosen = np.unique(np.array([r["bucket"] for r in told.select("bucket").union(often.select("bucket")).collect()], np.int64))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in batches:
+            lists = piece.column(1)
+            flat_, lengths = np.asarray(lists.flatten()), np.asarray(lists.value_lengths(), dtype=np.int64)
+            mine = np.isin(flat_, chosen)
+            first = np.concatenate(([0], np.cumsum(np.bincount(np.repeat(np.arange(len(lengths)), lengths)[mine], minlength=len(lengths)))))
+            yield batch(_TERMS, piece.column(0), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat_[mine], pa.int32())))
+
+    rows = rows.mapInArrow(keep, "target int, buckets array<int>").toArrow()
+    lists = pa.concat_arrays(rows.column("buckets").chunks) if rows.num_rows else pa.array([], pa.list_(pa.int32()))
     bucket = np.asarray(lists.flatten(), dtype=np.int64)
     doc = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths(), dtype=np.int64)) if len(lists) else np.zeros(0, np.int64)
-    return ToxicityModel(doc, bucket, np.asarray(rows.column("target"), dtype=float))
+    return ToxicityModel(chosen, doc, bucket, np.asarray(rows.column("target"), dtype=float))
 
 
 _ROW = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])

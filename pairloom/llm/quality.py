@@ -2,7 +2,7 @@
 
 P(grade >= j) = logistic(w.x - t_j) with one weight vector for all grades and ordered thresholds
 t_1 < t_2 < ..., so a text gets an expected grade and the probability of reaching a grade. Features are
-hashed: the share of each word shape (runs of upper case, lower case, digits and each mark)
+hashed: the share of each word, of each word shape (runs of upper case, lower case, digits and each mark)
 and of each pair of neighbouring shapes, and how much the text repeats itself.
 
 Weights are fitted on a bounded sample of rated documents; scoring is one pass over all
@@ -22,7 +22,8 @@ from ._labels import labelled_sample
 from ._spark import batch, chunks
 from ._text import U64, flat, mix, owner, prefix_hashes, range_hashes, words
 
-BUCKETS = 1 << 13
+SHAPES, WORDS = 1 << 13, 1 << 13
+BUCKETS = SHAPES + WORDS
 SAMPLE = 12000
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[48:58], _CLASS[65:91], _CLASS[97:123], _CLASS[128:] = ord("0"), ord("A"), ord("a"), ord("a")
@@ -40,10 +41,10 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         keep[starts] = True
     at = np.concatenate(([0], np.cumsum(keep)))
     shape = mix(range_hashes(prefix_hashes(kinds[keep]), at[starts], at[ends])) if len(starts) else hashes
-    key = [(doc, shape & U64(BUCKETS // 2 - 1))]
+    key = [(doc, shape & U64(SHAPES // 2 - 1)), (doc, (hashes >> U64(20)) % U64(WORDS) + U64(SHAPES))]
     same = doc[1:] == doc[:-1] if len(doc) else np.zeros(0, bool)
     pair = mix(shape[:-1] * U64(3) + shape[1:])[same]
-    key.append((doc[:-1][same], (pair & U64(BUCKETS // 4 - 1)) + U64(BUCKETS // 2)))
+    key.append((doc[:-1][same], (pair & U64(SHAPES // 4 - 1)) + U64(SHAPES // 2)))
     d = np.concatenate([k for k, _ in key])
     b = np.concatenate([v for _, v in key]).astype(np.int64)
     packed, times = np.unique(d * BUCKETS + b, return_counts=True)
@@ -55,7 +56,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     fresh = np.ones(len(order), bool)
     fresh[1:] = (hashes[order][1:] != hashes[order][:-1]) | (doc[order][1:] != doc[order][:-1])
     distinct = np.bincount(doc[order], weights=fresh, minlength=n) if len(doc) else np.zeros(n)
-    top = BUCKETS * 3 // 4
+    top = SHAPES * 3 // 4
     tenths = [np.ceil(10 * again / np.maximum(count, 1)), 16 + np.ceil(10 * distinct / np.maximum(count, 1)), 32 + np.minimum(15, np.log2(count + 1).astype(int))]
     every = np.arange(n)
     d = np.concatenate([d, every, every, every])

@@ -194,3 +194,60 @@ def contaminated(texts, items):
                 if share >= 0.6 or share >= 0.4 and answered:
                     out[d, i] = max(share, out.get((d, i), 0))
     return out
+
+
+def _mixed(x):
+    full = (1 << 64) - 1
+    x ^= x >> 32
+    for _ in range(2):
+        x = x * 0xD6E8FEB86659FD93 & full
+        x ^= x >> 32
+    return x
+
+
+def polynomial(raw):
+    """Sum of a fixed odd-looking number for each byte times a base to its place, modulo 2**64; not yet mixed."""
+    full = (1 << 64) - 1
+    return sum((((b + 1) * 0xD6E8FEB86659FD93 & full) ^ 0xA0761D6478BD642F) * pow(0x9E3779B97F4A7C15, k, 1 << 64) for k, b in enumerate(raw)) & full
+
+
+def tails(text, model):
+    """Probability of reaching each grade: shares of hashed words, shapes and pairs of shapes, and three counts in steps."""
+    import math
+
+    raw = [m.group().encode() for m in WORD.finditer(text or "")]
+    low = [lower(w.decode()).encode() for w in raw]
+    kind = lambda b: ord("0") if 48 <= b < 58 else ord("A") if 65 <= b < 91 else ord("a") if 97 <= b < 123 or b >= 128 else b
+    shapes = []
+    for w in raw:
+        k = [kind(b) for b in w]
+        shapes.append(_mixed(polynomial([x for i, x in enumerate(k) if i == 0 or x != k[i - 1]])))
+    n, full = len(raw), (1 << 64) - 1
+    z = 0.0
+    for s, w in zip(shapes, low):
+        z += (model.w[s & 4095] + model.w[8192 + (_mixed(polynomial(w)) >> 20) % 8192]) / n
+    for a, b in zip(shapes, shapes[1:]):
+        z += model.w[4096 + (_mixed((a * 3 + b) & full) & 2047)] / n
+    again = sum(a == b for a, b in zip(low, low[1:]))
+    for t in (math.ceil(10 * again / max(n, 1)), 16 + math.ceil(10 * len(set(low)) / max(n, 1)), 32 + min(15, int(math.log2(n + 1)))):
+        z += model.w[6144 + t]
+    return [1 / (1 + math.exp(-(z - t))) for t in model.thresholds]
+
+
+def toxicity(text, model):
+    """Logistic of a bias, a weight for each feature and the product of the factors of each pair of features."""
+    import math
+
+    buckets = set()
+    for w in words(text):
+        raw = w.encode()
+        for _ in range(4):
+            if len(raw) > 1 and raw[-1:] in b".,;:!?*#$%&\"')(|":
+                raw = raw[:-1]
+        for salt, size in enumerate((0, 4, 5, 6)):
+            if len(raw) > size:
+                buckets.add(_mixed((polynomial(raw[:size] if size else raw) + salt + 1) & ((1 << 64) - 1)) & ((1 << 20) - 1))
+    own = sorted({int(model.table[b]) for b in buckets} - {-1})
+    m = model.machine
+    z = m.bias + sum(m.w[i] for i in own) + sum(float(m.v[i] @ m.v[j]) for k, i in enumerate(own) for j in own[:k])
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))

@@ -389,6 +389,64 @@ def test_toxicity(spark, edges, nothing):
     assert toxicity.toxicity(nothing, labels).count() == 0 and toxicity.toxicity(edges, labels.limit(0)).count() == 12
 
 
+def test_toxicity_scores_are_the_formula(spark, docs, small, edges):
+    model = toxicity.fit(docs, queries.table(spark, small, "labels"))
+    assert len(set(model.table.tolist())) > 50
+    for df in (docs.limit(40), edges):
+        texts = [(r.doc_id, r.text) for r in df.collect()]
+        got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+        for i, t in texts:
+            assert got[i] == pytest.approx(brute.toxicity(t, model), abs=1e-9)
+
+
+def test_a_pair_of_terms_is_learnt_from_texts(spark):
+    """A mention that is common and neutral, an insult that is harmless alone: only both together are toxic."""
+    r = random.Random(5)
+    language = ["".join(r.choice("abcdefghij") for _ in range(7)) for _ in range(200)]
+    rows, marks = [], []
+    for i in range(3000):
+        mention, insult = r.random() < 0.3, r.random() < 0.3
+        w = r.sample(language, 12) + ["mentioned"] * mention + ["insulting"] * insult
+        r.shuffle(w)
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(mention and insult)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(df.where("doc_id < 2000"), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    got = {x.doc_id: x.score > 0.5 for x in toxicity.score(df.where("doc_id >= 2000"), model).collect()}
+    assert sum(got[i] == bool(y) for i, y in marks[2000:]) / 1000 > 0.97
+
+
+def test_quality_scores_are_the_formula(spark, docs, small, edges):
+    model = quality.fit(docs, quality.graded(queries.table(spark, small, "labels")))
+    for df in (docs.limit(40), edges):
+        texts = [(r.doc_id, r.text) for r in df.collect()]
+        got = {r.doc_id: r for r in quality.score(df, model).collect()}
+        for i, t in texts:
+            want = brute.tails(t, model)
+            assert got[i].tail_probability == pytest.approx(want[0], abs=1e-6) and got[i].expected_grade == pytest.approx(sum(want), abs=1e-6)
+
+
+def test_cumulative_link_reaches_the_greatest_likelihood():
+    """On one feature the fit's likelihood is not below that of any point of a fine grid."""
+    import numpy as np
+
+    r = np.random.default_rng(7)
+    x = r.random(400)
+    grade = (x + r.normal(0, 0.3, 400) > 0.3).astype(int) + (x + r.normal(0, 0.3, 400) > 0.8)
+    grade = np.clip(grade, 0, 2)
+
+    def likelihood(w, t):
+        tail = np.ones((400, 4))
+        tail[:, 1:3] = 1 / (1 + np.exp(-(w * x[:, None] - np.array(t))))
+        tail[:, 3] = 0
+        rows = np.arange(400)
+        return np.log(np.maximum(tail[rows, grade] - tail[rows, grade + 1], 1e-12)).mean()
+
+    m = quality.CumulativeLink(3, steps=3000, rate=0.05, ridge=0).fit(np.arange(400), np.zeros(400, np.int64), x, grade)
+    best = max(likelihood(w, (a, a + b)) for w in np.arange(0, 8, 0.25) for a in np.arange(-3, 5, 0.25) for b in np.arange(0.1, 5, 0.2))
+    assert likelihood(m.w[0], m.thresholds) >= best - 1e-6
+
+
 def test_machine_learns_a_pair():
     import numpy as np
 

@@ -21,9 +21,13 @@ def pair_key(a: str, b: str, sep: str = "|") -> Column:
     return F.concat(F.least(a, b), F.lit(sep), F.greatest(a, b))
 
 
+#: Fixed value: the published form of a protein accession.
+ACCESSION = "[OPQ][0-9][A-Z0-9]{3}[0-9]|[A-NR-Z][0-9](?:[A-Z][A-Z0-9]{2}[0-9]){1,2}"
+
+
 def accession(c: str) -> Column:
     """The leading protein accession of six or ten characters, empty if there is none."""
-    return F.regexp_extract(c, r"^([OPQ][0-9][A-Z0-9]{3}[0-9]|[A-NR-Z][0-9](?:[A-Z][A-Z0-9]{2}[0-9]){1,2})(?![A-Z0-9])", 1)
+    return F.regexp_extract(c, rf"^({ACCESSION})(?![A-Z0-9])", 1)
 
 
 def cluster_without_mode(c: str) -> Column:
@@ -47,10 +51,19 @@ GREEK = {
 }
 
 
+#: What full case folding writes with several letters (Java's upper case does so too, but not for all).
+FOLDED = {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+
+
 def name_key(c: Column | str) -> Column:
-    """A written name as a key: trimmed, lower-cased, Greek letters spelled, only a-z and 0-9 kept."""
-    out = F.lower(F.trim(F.col(c) if isinstance(c, str) else c))
-    out = F.regexp_replace(out, "ß", "ss")
+    """A written name as a key: trimmed, case folded, Greek letters spelled, only a-z and 0-9 kept.
+
+    Folding is lower case of upper case, as that joins the long s with its letter, and final sigma as sigma; of what case folding
+    writes with several letters, sharp s and the ligatures have any in a-z.
+    """
+    out = F.lower(F.upper(F.trim(F.col(c) if isinstance(c, str) else c)))
+    for sign, letters in {**FOLDED, "ς": "σ"}.items():
+        out = F.replace(out, F.lit(sign), F.lit(letters))
     for letter, word in GREEK.items():
         out = F.replace(out, F.lit(letter), F.lit(word))
     return F.regexp_replace(out, "[^a-z0-9]", "")
@@ -72,14 +85,6 @@ def selected_count(n_a: str, n_b: str, rho: float = 0.25, most: int = 70) -> Col
     return F.greatest(F.lit(1).cast("long"), F.least(F.lit(most).cast("long"), F.floor(smaller)))
 
 
-def sentences(c: str) -> Column:
-    """Sentences: cut after . ! ? before white space and a capital or digit, but not behind abbreviations, initials or numbers."""
-    hidden = F.regexp_replace(c, r"\b(e\.g|i\.e|et al|cf|vs|Fig|Figs|Ref|Refs|Dr|Prof|approx|ca|No|sp|spp|etc)\.", "$1\u0000")
-    hidden = F.regexp_replace(hidden, r"(?<=[0-9])\.(?=[0-9])", "\u0000")
-    hidden = F.regexp_replace(hidden, r"\b([A-Z])\.(?=\s*[A-Z])", "$1\u0000")
-    return F.transform(F.split(hidden, r"(?<=[.!?])\s+(?=[A-Z0-9])"), lambda s: F.replace(s, F.lit("\u0000"), F.lit(".")))
-
-
 def stable_id(*parts: Column | str, length: int = 10) -> Column:
     """The first hex digits of the sha1 of the parts joined by NUL."""
     return F.substring(F.sha1(F.concat_ws("\u0000", *parts)), 1, length)

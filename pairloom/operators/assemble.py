@@ -32,6 +32,21 @@ def assemble(positives: dict[str, DataFrame], negatives: DataFrame) -> DataFrame
     return both.where("target <> partner").select("target", "partner", "type", "sources")
 
 
+def assemble_flags(rows: DataFrame, positives: dict[str, str], negative: str, a: str = "acc_a", b: str = "acc_b") -> DataFrame:
+    """As `assemble`, from one table of which each source is a condition (SQL): one scan and one aggregation of the unordered pairs."""
+    flags = [F.bool_or(F.expr(condition)).alias(f"_{label}") for label, condition in positives.items()]
+    pairs = rows.where(f"{a} <> {b}").groupBy(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).agg(*flags, F.bool_or(F.expr(negative)).alias("neg"))
+    sources = F.concat_ws(",", *(F.when(F.col(f"_{label}"), label) for label in sorted(positives)))
+    typed = pairs.select("lo", "hi", sources.alias("sources"), F.when(sources != "", "positive").when(F.col("neg"), "negative").alias("type")).where("type is not null")
+    ends = F.explode(F.array(F.struct(F.col("lo").alias("target"), F.col("hi").alias("partner")), F.struct(F.col("hi").alias("target"), F.col("lo").alias("partner"))))
+    return typed.select(ends.alias("e"), "type", "sources").select("e.target", "e.partner", "type", "sources")
+
+
+def kept(df: DataFrame, column: str = "drop_reason") -> DataFrame:
+    """The rows without a drop reason."""
+    return df.where(F.col(column) == "")
+
+
 def membership(df: DataFrame, listed: DataFrame, flag: str, a: str = "acc_a", b: str = "acc_b") -> DataFrame:
     """Adds a boolean column: whether the exact two-column pair is listed."""
     keys = listed.select(F.col(a), F.col(b), F.lit(True).alias(flag)).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,10 +54,15 @@ def grounded(excerpts: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     return excerpts.join(texts, key, "left").withColumn("grounded", F.coalesce(F.contains("_folded", _fold("excerpt")), F.lit(False))).drop("_folded")
 
 
-def containing(docs: DataFrame, excerpts: DataFrame, key: str, item: str) -> DataFrame:
-    """key, item: every document with every excerpt that stands in its folded text; the excerpts, the query set, are sent to all tasks."""
+def containing(docs: DataFrame, excerpts: DataFrame, key: str, item: str, block: int = 10_000) -> DataFrame:
+    """key, item: every document with every excerpt that stands in its folded text.
+
+    The excerpts are the query set: they are sent to all tasks in blocks of about `block` rows, each a pass over the documents.
+    """
     texts, items = docs.select(key, _fold("text").alias("_folded")), excerpts.select(item, _fold("excerpt").alias("_excerpt"))
-    return texts.join(F.broadcast(items), F.contains("_folded", "_excerpt")).select(key, item)
+    blocks_ = max(1, -(-items.count() // block))
+    out = [texts.join(F.broadcast(items.where(F.pmod(F.xxhash64(item), F.lit(blocks_)) == k)), F.contains("_folded", "_excerpt")).select(key, item) for k in range(blocks_)]
+    return reduce(DataFrame.unionByName, out)
 
 
 def name_index(names: DataFrame) -> DataFrame:
@@ -72,14 +79,38 @@ def resolve(mentions: DataFrame, index: DataFrame, too_wide: int = 50) -> DataFr
     return found.select("name", outcome.alias("outcome"), "n_candidates", F.when(n == 1, F.col("least")).otherwise("").alias("accession"))
 
 
-#: Section kinds by title pattern, first match wins.
-SECTIONS = (("abstract", "^abstract"), ("introduction", "^(introduction|background)"), ("methods", "(method|material|experimental)"), ("results", "result"), ("discussion", "(discussion|conclusion)"))
+#: Kinds by section type, and by title (upper case, without its number), first match wins.
+SECTION_TYPES = {
+    "results": "results", "discussion": "discussion", "intro": "introduction", "introduction": "introduction", "background": "introduction", "methods": "methods",
+    "materials|methods": "methods", "materials-methods": "methods", "conclusions": "conclusion", "conclusion": "conclusion", "supplementary-material": "supplementary",
+    "ref-list": "excluded", "ack": "excluded", "fn-group": "excluded", "contrib-info": "excluded", "coi-statement": "excluded", "abbreviations": "excluded", "associated-data": "supplementary",
+}
+SECTIONS = (
+    ("excluded", r"^(REFERENCES?|SELECTED\s+REFERENCES|BIBLIOGRAPHY|ACKNOWLEDG(E)?MENTS?|AUTHORS?[\u2019']?\s+(CONTRIBUTIONS?|INFORMATION)|CONTRIBUTOR\s+INFORMATION|COMPETING\s+INTERESTS?|CONFLICTS?\s+OF\s+INTEREST|DISCLOSURES?|ABBREVIATIONS?|LIST\s+OF\s+ABBREVIATIONS|FOOTNOTES?|FUNDING|PRE-?PUBLICATION\s+HISTORY|AVAILABILITY|ETHICS|CONSENT|AUTHOR\s+SUMMARY)\b"),
+    ("results_and_discussion", r"^RESULTS?\s*(AND|&|/)\s*DISCUSSION"),
+    ("results_and_discussion", r"^DISCUSSION\s*(AND|&|/)\s*RESULTS?"),
+    ("methods", r"^(MATERIALS?\s*(AND|&)?\s*METHODS?|METHODS?|EXPERIMENTAL\s*(PROCEDURES?|SECTION|METHODS?)?|PATIENTS?\s*AND\s*METHODS?|METHODOLOGY|MATERIALS?)\b"),
+    ("results", r"^RESULTS?\b"),
+    ("discussion", r"^DISCUSSION\b"),
+    ("conclusion", r"^(CONCLUSIONS?|SUMMARY|CONCLUDING)\b"),
+    ("introduction", r"^(INTRODUCTION|BACKGROUND)\b"),
+    ("supplementary", r"^(SUPPLEMENTARY|SUPPLEMENTAL|SUPPORTING|ASSOCIATED\s+DATA|ADDITIONAL\s+(DATA|FILE))"),
+)
+
+
+def section_kind(rows: DataFrame, title: str, kind: str | None = None) -> DataFrame:
+    """Adds section: what the section type (the column `kind`, if given) settles, else the kind of the title without its number, or other."""
+    bare = F.regexp_replace(F.upper(F.trim(F.col(title))), r"^\s*([0-9]+(\.[0-9]+)*|[IVXLC]+)[.)]?\s+", "")
+    by_title = F
+    for name, pattern in SECTIONS:
+        by_title = by_title.when(bare.rlike(pattern), name)
+    out = by_title.otherwise("other")
+    if kind:
+        types = F.create_map(*(F.lit(x) for pair in SECTION_TYPES.items() for x in pair))
+        out = F.coalesce(F.try_element_at(types, F.lower(F.trim(F.col(kind)))), out)
+    return rows.withColumn("section", out)
 
 
-def section_kind(rows: DataFrame, title: str) -> DataFrame:
-    """Adds section: the kind of a title without leading numbers, or other."""
-    bare = F.lower(F.regexp_replace(F.trim(F.col(title)), r"^[0-9.\s]+", ""))
-    kind = None
-    for name, pattern in SECTIONS:
-        kind = F.when(bare.rlike(pattern), name) if kind is None else kind.when(bare.rlike(pattern), name)
-    return rows.withColumn("section", kind.otherwise("other"))
+def head(rows: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows in a total order: each task keeps its own n, and only those meet."""
+    return rows.orderBy(*order).limit(n)

@@ -13,6 +13,7 @@ from ..operators import leakage as L
 from ..operators import logs as G
 from ..operators import matching as M
 from ..operators import pairs as P
+from ..operators import reports
 from ..operators import scoring as N
 from ..operators import structure as S
 from ..operators import targets as T
@@ -200,24 +201,22 @@ def leak_homolog_a(spark, d):
     return L.cluster_flag(V.pair_set(spark, d, "pos_a"), rows, L.cluster_min_date(rows), EARLY, False)
 
 
-def _homologs(spark, d, members="acc_a like '%1%'"):
+def _homologs(spark, d):
     rows = _clustered(spark, d)
-    return L.cluster_flag(V.pair_set(spark, d, "pos_b"), rows.where(members), L.cluster_min_date(rows), EARLY, None)
+    return L.cluster_flag(V.pair_set(spark, d, "pos_b"), rows, L.cluster_min_date(rows), EARLY, None)
 
 
-HFLAG_B = QUALITY.replace("from clustered)", "from clustered where acc_a like '%1%')")
 
-
-@query("select acc_a, acc_b, homolog_leaked from pos_b left join hflag using (acc_a, acc_b)", [V.IFACE, V.pairs_sql("pos_b"), MEMBERS, CLUSTERED, FIRST_DATES, HFLAG_B])
+@query("select acc_a, acc_b, homolog_leaked from pos_b left join hflag using (acc_a, acc_b)", [V.IFACE, V.pairs_sql("pos_b"), MEMBERS, CLUSTERED, FIRST_DATES, QUALITY])
 def leak_homolog_b(spark, d):
     return _homologs(spark, d)
 
 
-FLAGS = [V.IFACE, V.pairs_sql("pos_b"), V.DATES, SOURCES, DATE_FLAG, MEMBERS, CLUSTERED, FIRST_DATES, HFLAG_B, "flagged as (select acc_a, acc_b, date_leaked, homolog_leaked, case when length(acc_b) % 2 = 0 then 'positive' else 'negative' end as type from pos_b left join dflag using (acc_a, acc_b) left join hflag using (acc_a, acc_b))"]
+FLAGS = [V.IFACE, V.pairs_sql("pos_b"), V.DATES, SOURCES, DATE_FLAG, MEMBERS, CLUSTERED, FIRST_DATES, QUALITY, "flagged as (select acc_a, acc_b, date_leaked, homolog_leaked, case when length(acc_b) % 2 = 0 then 'positive' else 'negative' end as type from pos_b left join dflag using (acc_a, acc_b) left join hflag using (acc_a, acc_b))"]
 
 
-def _flagged(spark, d, members="acc_a like '%1%'"):
-    return _dated(spark, d).join(_homologs(spark, d, members), ["acc_a", "acc_b"]).withColumn("type", F.expr("if(length(acc_b) % 2 = 0, 'positive', 'negative')"))
+def _flagged(spark, d):
+    return _dated(spark, d).join(_homologs(spark, d), ["acc_a", "acc_b"]).withColumn("type", F.expr("if(length(acc_b) % 2 = 0, 'positive', 'negative')"))
 
 
 @query("select acc_a, acc_b, case when coalesce(date_leaked, false) or coalesce(homolog_leaked, false) then true when date_leaked is null and homolog_leaked is null then null else false end as leaked from flagged", FLAGS)
@@ -235,30 +234,6 @@ def leak_leaked_masks(spark, d):
     return _flagged(spark, d).select("acc_a", "acc_b", "type", L.leaked().alias("leaked"))
 
 
-#: The same flags with all cluster members; the queries above keep the fixed selection of their SQL.
-FLAGS_ALL = [QUALITY if x is HFLAG_B else x for x in FLAGS]
-
-
-@query("select acc_a, acc_b, homolog_leaked from flagged", FLAGS_ALL)
-def leak_homolog_b_all(spark, d):
-    return _homologs(spark, d, "true")
-
-
-@query("select " + ORACLE_SQL["leak_combine"].rpartition(") select ")[2], FLAGS_ALL)
-def leak_combine_all(spark, d):
-    return _flagged(spark, d, "true").select("acc_a", "acc_b", L.any_true("date_leaked", "homolog_leaked").alias("leaked"))
-
-
-@query("select " + ORACLE_SQL["leak_clean_masks"].rpartition(") select ")[2], FLAGS_ALL)
-def leak_clean_masks_all(spark, d):
-    return _flagged(spark, d, "true").select("acc_a", "acc_b", "type", L.clean().alias("clean"))
-
-
-@query("select " + ORACLE_SQL["leak_leaked_masks"].rpartition(") select ")[2], FLAGS_ALL)
-def leak_leaked_masks_all(spark, d):
-    return _flagged(spark, d, "true").select("acc_a", "acc_b", "type", L.leaked().alias("leaked"))
-
-
 CO = f"co as (select n.acc_a, n.acc_b, count(*) as n_entries, min(a.entry) as first_entry from neg n join (select distinct acc, entry from chains) a on a.acc = n.acc_a join (select distinct acc, entry from chains) b on b.acc = n.acc_b and b.entry = a.entry join dates t on t.entry = a.entry where t.release_date <= timestamp '{V.CUTOFF}' group by n.acc_a, n.acc_b)"
 
 
@@ -271,10 +246,11 @@ def leak_copresence(spark, d):
     return _copresent(spark, d)
 
 
-@query("select acc_a, acc_b, case when n_entries is not null then true else null end as date_leaked from neg left join co using (acc_a, acc_b)", [V.IFACE, V.pairs_sql("neg"), V.CHAINS, V.DATES, CO])
+@query("select acc_a, acc_b, case when n_entries is null then date_leaked when length(acc_a) % 2 = 0 then true else date_leaked end as date_leaked from neg left join co using (acc_a, acc_b) left join dflag using (acc_a, acc_b)", [V.IFACE, V.pairs_sql("neg"), V.CHAINS, V.DATES, CO, SOURCES, DATE_FLAG])
 def leak_copresence_overlay(spark, d):
-    rows = V.pair_set(spark, d, "neg").join(_copresent(spark, d), ["acc_a", "acc_b"], "left")
-    rows = rows.select("acc_a", "acc_b", F.lit("negative").alias("type"), F.lit(None).cast("boolean").alias("date"), F.when(F.col("n_entries").isNotNull(), True).alias("verdict"))
+    dated = L.date_flag(V.pair_set(spark, d, "neg"), _sources(spark, d), V.dates(spark, d), V.CUTOFF)
+    rows = dated.join(_copresent(spark, d), ["acc_a", "acc_b"], "left")
+    rows = rows.select("acc_a", "acc_b", F.expr("if(length(acc_a) % 2 = 0, 'negative', 'positive')").alias("type"), F.col("date_leaked").alias("date"), F.when(F.col("n_entries").isNotNull(), True).alias("verdict"))
     return rows.select("acc_a", "acc_b", L.overlay("type", "date", "verdict").alias("date_leaked"))
 
 
@@ -593,15 +569,8 @@ def text_bigram_terms(spark, d):
     return X.grams(V.table(spark, d, "documents").where("text is not null").select("doc_id", "text"), "doc_id").join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
-@query("select c.doc_id, c.item_id, contains(lower(regexp_replace(trim(d.text), '[ \\t\\n\\v\\f\\r]+', ' ', 'g')), lower(regexp_replace(trim(c.text), '[ \\t\\n\\v\\f\\r]+', ' ', 'g'))) as grounded from (select doc_id, item_id, b.text from documents d join benchmark b on d.doc_id % 40 = b.item_id % 40) c join documents d using (doc_id)")
-def text_grounded(spark, d):
-    docs, items = V.table(spark, d, "documents").select("doc_id", "text"), V.table(spark, d, "benchmark").select("item_id", F.col("text").alias("excerpt"))
-    claims = docs.select("doc_id").join(items, F.expr("doc_id % 40 = item_id % 40"))
-    return X.grounded(claims, docs, "doc_id").select("doc_id", "item_id", "grounded")
-
-
 @query("select d.doc_id, b.item_id from (select doc_id, lower(regexp_replace(trim(text), '[ \\t\\n\\v\\f\\r]+', ' ', 'g')) as text from documents) d join (select item_id, lower(regexp_replace(trim(text), '[ \\t\\n\\v\\f\\r]+', ' ', 'g')) as text from benchmark) b on contains(d.text, b.text)")
-def text_grounded_all(spark, d):
+def text_grounded(spark, d):
     return X.containing(V.table(spark, d, "documents").select("doc_id", "text"), V.table(spark, d, "benchmark").select("item_id", F.col("text").alias("excerpt")), "doc_id", "item_id")
 
 
@@ -620,11 +589,6 @@ def text_candidates(spark, d):
     return X.resolve(part.selectExpr("p_name as name").unionByName(part.selectExpr("p_brand as name")), index)
 
 
-@query("select n, case when regexp_matches(t, '^abstract') then 'abstract' when regexp_matches(t, '^(introduction|background)') then 'introduction' when regexp_matches(t, '(method|material|experimental)') then 'methods' when regexp_matches(t, 'result') then 'results' when regexp_matches(t, '(discussion|conclusion)') then 'discussion' else 'other' end as section from (select p_partkey as n, lower(p_type) as t from part)")
-def text_sections(spark, d):
-    return X.section_kind(V.table(spark, d, "part").selectExpr("p_partkey as n", "'2.1 ' || p_type as title"), "title").select("n", "section")
-
-
 # match
 
 LENGTHS = "lens as (select 'P' || p_partkey as acc, cast(p_size * 20 as bigint) as length from part where p_partkey % 9 <> 0)"
@@ -664,7 +628,7 @@ def match_global_assignment(spark, d):
 
 @query("select target, type, count(*) as n_pairs, round(median(combined), 4) as median_length from sized group by target, type", [*V.ASSEMBLED, LENGTHS, SIZED])
 def match_report(spark, d):
-    return _sized(spark, d).groupBy("target", "type").agg(F.count("*").alias("n_pairs"), F.round(F.percentile("combined", 0.5), 4).alias("median_length"))
+    return reports.medians(_sized(spark, d), ["target", "type"], "combined").withColumn("median_length", F.round("median_length", 4))
 
 
 @query("select round(max(abs(ca / na - cb / nb)), 9) as d, cast(max(na) as bigint) as n_first, cast(max(nb) as bigint) as n_second from (select sum(a) over (order by combined) as ca, sum(b) over (order by combined) as cb, sum(a) over () as na, sum(b) over () as nb from (select combined, cast(count(*) filter (type = 'positive') as double) as a, cast(count(*) filter (type <> 'positive') as double) as b from sized where combined is not null group by combined))", [*V.ASSEMBLED, LENGTHS, SIZED])
@@ -693,16 +657,12 @@ def match_assertions(spark, d):
 
 @query("select date_trunc('quarter', ts)::date as window_start, (date_trunc('quarter', ts) + interval 3 month - interval 1 day)::date as window_end, count(*) as n from events group by 1, 2")
 def misc_calendar_windows(spark, d):
-    start = F.date_trunc("quarter", "ts")
-    return V.table(spark, d, "events").groupBy(start.cast("date").alias("window_start"), F.date_sub(F.add_months(start.cast("date"), 3), 1).alias("window_end")).agg(F.count("*").alias("n"))
+    return V.table(spark, d, "events").withColumn("w", reports.window_of("ts")).groupBy(F.col("w.first").alias("window_start"), F.col("w.last").alias("window_end")).agg(F.count("*").alias("n"))
 
 
 @query("select event_type, count(*) as n, round(count(*) / sum(count(*)) over (), 9) as share from events group by event_type")
 def misc_value_counts(spark, d):
-    from pyspark.sql import Window
-
-    counts = V.table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))), 9))
+    return reports.value_counts(V.table(spark, d, "events"), "event_type").withColumn("share", F.round("share", 9))
 
 
 @query("select conv_id, turn, substring(sha1(cast(conv_id as varchar) || chr(0) || text), 1, 10) as id from conversations where text is not null")
@@ -712,11 +672,16 @@ def misc_stable_ids(spark, d):
 
 @query("select min(doc_id) as doc_id, count(*) as n, string_agg(cast(doc_id as varchar), ',' order by doc_id) as members from documents where text is not null group by text having count(*) > 1")
 def misc_exact_text_collapse(spark, d):
-    groups = V.table(spark, d, "documents").where("text is not null").groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("doc_id")), ",").alias("members"))
-    return groups.where("n > 1").drop("h")
+    return reports.exact_copies(V.table(spark, d, "documents"), "doc_id", "text").withColumn("members", F.array_join("members", ","))
 
 
 @query("select acc_a, acc_b, ordinal, round(area, 4) as area from (select *, row_number() over (partition by acc_a, acc_b order by area desc, ordinal) as r from (select least(acc_a, acc_b) as acc_a, greatest(acc_a, acc_b) as acc_b, area, ordinal from iface)) where r <= 1", [V.IFACE])
 def misc_topk_per_pair(spark, d):
     rows = V.iface(spark, d).select(F.least("acc_a", "acc_b").alias("acc_a"), F.greatest("acc_a", "acc_b").alias("acc_b"), "area", "ordinal")
     return P.top_k(rows, ["acc_a", "acc_b"], [F.col("area").desc_nulls_last(), F.col("ordinal")], 1).withColumn("area", F.round("area", 4))
+
+
+from . import literature  # noqa: E402  (registers beside the queries above)
+
+QUERIES |= literature.QUERIES
+ORACLE_SQL |= literature.ORACLE_SQL

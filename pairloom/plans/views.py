@@ -58,7 +58,7 @@ def edge_set(spark: SparkSession, d: str, name: str) -> DataFrame:
 def assembled(spark: SparkSession, d: str) -> DataFrame:
     from ..operators import assemble
 
-    return assemble.assemble({"a": edge_set(spark, d, "pos_a"), "b": edge_set(spark, d, "pos_b")}, edge_set(spark, d, "neg"))
+    return assemble.assemble_flags(iface(spark, d), {"a": CONDITIONS["pos_a"], "b": CONDITIONS["pos_b"]}, CONDITIONS["neg"])
 
 
 #: Entries and dates: orders in process count as undated.

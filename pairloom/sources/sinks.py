@@ -9,7 +9,7 @@ import platform
 import sys
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -73,11 +73,64 @@ def merge_codes(old: DataFrame, new: DataFrame, a: str = "acc_a", b: str = "acc_
 
 
 def chunked_requests(rows: DataFrame, key: str, size: str, most_bytes: int, most_rows: int, shards: int = 64) -> DataFrame:
-    """Adds shard and chunk: rows of a shard in order of the key, cut before either limit is passed.
+    """Adds shard and chunk: rows of a shard in order of the key, a chunk closed before a row would pass either limit.
 
-    The cut is the greedy one where no row is larger than the limit divided by its chunk; shards keep the running sums parallel.
+    A row above the byte limit is a chunk of its own. Rows of size 0 or null carry no request: they take the chunk that is
+    open and count for neither limit. Each shard is cut greedily over its sorted rows, which stream through in Arrow batches, so a task
+    holds one batch and four numbers.
     """
-    shard = F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")
-    run = Window.partitionBy("shard").orderBy(key)
-    summed = rows.withColumn("shard", shard).withColumns({"_n": F.row_number().over(run) - 1, "_b": F.sum(size).over(run.rowsBetween(Window.unboundedPreceding, 0)) - 1})
-    return summed.withColumn("chunk", F.greatest(F.floor(F.col("_n") / most_rows), F.floor(F.col("_b") / most_bytes)).cast("int")).drop("_n", "_b")
+    import pyarrow as pa
+
+    names = rows.columns
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", shard int, chunk int"
+    place = names.index(size)
+
+    def run(batches):
+        shard = chunk = held = count = None
+        for piece in batches:
+            out = []
+            for s, n in zip(piece.column(len(names)).to_pylist(), piece.column(place).to_pylist()):
+                if s != shard:
+                    shard, chunk, held, count = s, 0, 0, 0
+                if n:
+                    if count and (count >= most_rows or held + n > most_bytes):
+                        chunk, held, count = chunk + 1, 0, 0
+                    held, count = held + n, count + 1
+                out.append(chunk)
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(out, pa.int32())], names=[*names, "shard", "chunk"])
+
+    sharded = rows.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
+    rest = [c for c in names if c != key]
+    return sharded.repartition(shards, "shard").sortWithinPartitions("shard", key, *rest[:1]).mapInArrow(run, schema)
+
+
+def with_metadata(df: DataFrame, metadata: dict[str, dict[str, str]]) -> DataFrame:
+    """Columns with key-value metadata, which Spark keeps in the Parquet footer and gives back in the schema."""
+    return df.select(*(F.col(c).alias(c, metadata=metadata[c]) if c in metadata else F.col(c) for c in df.columns))
+
+
+def dated_name(prefix: str, date: str, suffix: str) -> str:
+    """The name that readers.latest_version finds."""
+    return f"{prefix}{date}{suffix}"
+
+
+def fingerprint(values: dict) -> str:
+    """Twelve hex digits that change with any value that affects an answer."""
+    return hashlib.sha256(json.dumps(values, sort_keys=True, default=str).encode()).hexdigest()[:12]
+
+
+def bind_run(folder: str, settings: dict) -> dict:
+    """A run folder's manifest: written once, in one step; an error if it was written for other settings."""
+    path = os.path.join(folder, "manifest.json")
+    new = {"fingerprint": fingerprint(settings), "settings": settings}
+    if os.path.exists(path):
+        with open(path, encoding="utf-8") as f:
+            old = json.load(f)
+        if old["fingerprint"] != new["fingerprint"]:
+            raise ValueError(f"{folder} belongs to run {old['fingerprint']}, not {new['fingerprint']}")
+        return old
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{path}.part", "w", encoding="utf-8") as f:
+        json.dump(new, f, indent=2, default=str)
+    os.replace(f"{path}.part", path)
+    return new

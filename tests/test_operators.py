@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pairloom.functions import cues, names
 from pairloom import functions as E
 from pairloom.operators import assemble, leakage, logs, matching, pairs, scoring, texts
 
@@ -100,7 +101,7 @@ def test_hungarian_against_brute_force():
 
 def test_names_and_sentences(spark):
     df = spark.createDataFrame([(" TNF-α/ß2 ", "See Fig. 2 for e.g. A. Smith et al. in 0.5 units. Next one! 3 more.")], "n string, t string")
-    r = df.select(E.name_key("n").alias("k"), E.surface_forms("n").alias("f"), E.sentences("t").alias("s")).first()
+    r = df.select(E.name_key("n").alias("k"), E.surface_forms("n").alias("f"), cues.sentences("t").alias("s")).first()
     assert r.k == "tnfalphass2" and r.f == ["tnfalphass2", "tnfalpha", "ss2"]
     assert r.s == ["See Fig. 2 for e.g. A. Smith et al. in 0.5 units.", "Next one!", "3 more."]
 
@@ -116,3 +117,57 @@ def test_two_sided_needs_distinct_accessions(spark):
     asked = spark.createDataFrame([("A", "B"), ("A", "C")], "acc_a string, acc_b string")
     index = spark.createDataFrame([("A", 1, ["X"]), ("B", 1, ["X"]), ("C", 1, ["Y"])], "acc string, entry int, matches array<string>")
     assert rows(leakage.two_sided_homologs(asked, index), "acc_a", "acc_b", "homolog_entry") == [("A", "C", 1)]
+
+
+def test_sentences_and_cues(spark):
+    texts_ = [
+        "After the knockout of X. The band reappeared.", "J. B. Smith saw it. It holds, i.e. 3 of 4.", "", None,
+        "APPL1 bound Rab5 with a Kd of 0.5 uM but not Rab4. Next.", "binding was observed not with lipids, sugars or salts", "We did not find it. Proteins interact.",
+        "Rab5 failed to interact with Rab4.", "There was no detectable binding.",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts_)], "i int, t string")
+    got = {r.i: r for r in df.select("i", cues.sentences("t").alias("s"), cues.has_cue("t").alias("c"), cues.cue_families("t").alias("f")).collect()}
+    assert got[0].s == ["After the knockout of X.", "The band reappeared."]
+    assert got[1].s == ["J. B. Smith saw it.", "It holds, i.e. 3 of 4."]
+    assert got[2].s == [] and got[3].s is None and not got[3].c
+    assert got[4].c and "elliptical_exclusion" in got[4].f and not got[5].c and not got[6].c
+    assert got[7].f == ["failed_assay"] and "explicit_no_interaction" in got[8].f
+
+
+def test_written_names():
+    assert names.split_names("Main name (First (inner) one) (EC 1.2.3.4) (Second)") == ["Main name", "First (inner) one", "Second"]
+    assert names.split_names("") == [] and names.split_names("a (b (c") == ["a"]
+    assert names.fold(" A\u2013B &amp; 5\u00d73 \u2248 \ufb01n ") == "a-b & 5x3 ~ fin" and names.unescape("a\\u00e9\\\\u0041") == "aéA"
+    assert names.definitions("the dipeptidyl peptidase 4 (DPP4) of human (Fig. 2) and (P < 0.05)") == [("DPP4", "dipeptidyl peptidase 4")]
+    assert names.definitions("nothing here matches (XYZ)") == [] and names.long_form("heat shock protein", "HSP") == "heat shock protein"
+    assert names.variants("human N. benthamiana protein kinase A")[0] == "human N. benthamiana protein kinase A"
+    assert names.variants("human SKP1 protein") == ["human SKP1 protein", "SKP1 protein", "SKP1"]
+
+
+def test_name_keys_fold_case(spark):
+    df = spark.createDataFrame([("Straße ﬁx ΣΑΣ ſ",), (None,)], "n string")
+    assert [r[0] for r in df.select(E.name_key("n")).collect()] == ["strassefixsigmaalphasigmas", None]
+
+
+def test_species_prefixes(spark):
+    df = spark.createDataFrame([(n,) for n in ("AtCGL160", "hRAB5", "Rab5p", "hR1", "ZzABC", None)], "n string")
+    m = lambda **kw: F.create_map(*(x for k, v in kw.items() for x in (F.lit(k), F.array(F.lit(v)))))
+    got = df.select("n", names.species_prefix("n", m(at=1), m(h=2, y=3)).alias("s")).collect()
+    assert [(r.s.rule, r.s.rest, r.s.taxa) if r.s else None for r in got] == [("two_letter", "CGL160", [1]), ("one_letter", "RAB5", [2]), ("yeast_p_suffix", "Rab5", [3]), None, None, None]
+
+
+def test_guards():
+    from pairloom.operators import papers
+
+    with pytest.raises(ValueError):
+        papers.same_source({"sha": "a"}, {"sha": "b"})
+    papers.same_source({"sha": "a"}, {"sha": "a"})
+
+
+def test_sampled_arms(spark):
+    assigned = spark.createDataFrame([("T", "U", "substituted")], "reference string, candidate string, mode string")
+    wanted = spark.createDataFrame([("T", "positive", "a", 10.0), ("T", "negative", "b", 5.0), ("Z", "positive", "c", 1.0)], "target string, type string, partner string, size double")
+    offered = spark.createDataFrame([("U", "positive", "x", 11.0), ("U", "positive", "y", 30.0), ("U", "negative", "z", 6.0)], "target string, type string, partner string, size double")
+    got = {(r.reference, r.type): r for r in matching.sampled_arms(assigned, wanted, offered).collect()}
+    assert set(got) == {("T", "positive"), ("T", "negative")} and got["T", "positive"].difference == 1.0
+    assert matching.arm(spark.createDataFrame([("T", 3)], "target string, n int"), wanted, "leaked").count() == 2

@@ -72,5 +72,93 @@ def test_sinks(spark, tmp_path):
     old = spark.createDataFrame([("B", "A", "1,2")], "acc_a string, acc_b string, codes string")
     new = spark.createDataFrame([("A", "B", "2,3"), ("C", "C", "4")], "acc_a string, acc_b string, codes string")
     assert [tuple(r) for r in sinks.merge_codes(old, new).collect()] == [("A", "B", "1,2,3")]
-    sized = sinks.chunked_requests(spark.range(100).selectExpr("id", "10 as size"), "id", "size", 100, 7, shards=2)
-    assert all(r["count"] <= 10 for r in sized.groupBy("shard", "chunk").count().collect())
+
+
+def test_chunks_are_greedy(spark):
+    import random
+
+    r = random.Random(3)
+    rows = [(i, r.choice([0, 6, 6, 30, 80, 150, None])) for i in range(400)]
+    got = sinks.chunked_requests(spark.createDataFrame(rows, "id long, size int").repartition(5), "id", "size", 100, 7, shards=3).collect()
+    assert len(got) == 400
+    for shard in range(3):
+        chunk = held = count = 0
+        for x in sorted((x for x in got if x.shard == shard), key=lambda x: x.id):
+            if x["size"]:
+                if count and (count == 7 or held + x["size"] > 100):
+                    chunk, held, count = chunk + 1, 0, 0
+                held, count = held + x["size"], count + 1
+            assert x.chunk == chunk
+
+
+def test_headers_with_a_mark_inside(spark, tmp_path):
+    path = tmp_path / "s.fa"
+    path.write_text(">1abc_A mol:protein 5'->3' thing\n" + "acdef" * 8 + "\n>sp|P12345|NAME mol:protein\n" + "ACD\nEFG" * 9 + "\n>short mol:protein\nAC\n")
+    got = {r.id: r for r in readers.fasta(spark, str(path)).collect()}
+    assert set(got) == {"1abc_A", "sp|P12345|NAME"} and got["1abc_A"].sequence == "ACDEF" * 8 and "5'->3'" in got["1abc_A"].header
+    assert {r.id for r in readers.fasta_ids(spark, str(path)).collect()} == {"1abc_A", "P12345", "short"}
+
+
+def test_ordinals_without_a_window(spark):
+    df = readers.with_ordinal(spark.range(0, 100, 1, 7), "n")
+    assert sorted((r.id, r.n) for r in df.collect()) == [(i, i) for i in range(100)]
+
+
+def test_statistics_and_feature_space(spark, tmp_path):
+    write = lambda rows, name: (spark.createDataFrame(rows, "feature long, max double, idf double").write.parquet(str(tmp_path / name)), str(tmp_path / name))[1]
+    assert readers.statistics(spark, write([(0, 2.0, 0.0), (1, 3.0, 1.5)], "good")).count() == 2
+    for i, bad in enumerate([[(0, 1.0, 2.0), (1, 1.0, 3.0)], [(0, 0.0, 2.0)], [(0, 2.0, float("nan"))], [(0, 2.0, 3.0), (0, 2.0, 3.0)], []]):
+        with pytest.raises(ValueError):
+            readers.statistics(spark, write(bad, f"bad{i}"))
+    assert readers.same_feature_space({"a": "1"}, {"a": 1, "b": 2}, ["a", "b"]) == ["b"]
+    with pytest.raises(ValueError):
+        readers.same_feature_space({"a": "1"}, {"a": 2}, ["a"])
+
+
+def test_reviewed_entries(spark, tmp_path):
+    path = tmp_path / "e.tsv"
+    path.write_text("Entry\tName\tProtein\tGene\tOrganism\tId\tOrtho\tEgg\nP1\tA_X\tMain\tg\tHomo\t9606\t\t\nP2\tB_Y\tOther\th\tVirus\t10\t\t\n")
+    rows = readers.reviewed_entries(spark, str(path), spark.createDataFrame([("P2",)], "accession string"), "2026_02")
+    assert {r.accession: r.is_viral for r in rows.collect()} == {"P1": False, "P2": True} and readers.one_release(rows) == "2026_02"
+    path.write_text("Entry\tName\n")
+    with pytest.raises(ValueError):
+        readers.reviewed_entries(spark, str(path), rows.select("accession"), "x")
+
+
+def test_articles_and_residues(spark):
+    xml = """<article><front><abstract><p>Short  summary.</p></abstract></front><body>
+        <sec><title>1. Results and Discussion</title><p>One <italic>two</italic><fig><label>Fig 1</label><caption><p>A caption.</p></caption></fig> three.</p><sec><title>Binding of X</title><list><list-item><p>Four.</p></list-item></list></sec></sec>
+        <sec sec-type="ack"><title>Thanks</title><p>No.</p></sec></body><back><ref-list><p>No.</p></ref-list></back></article>"""
+    got = [(b[2], b[3], b[4]) for b in markup.jats(xml)]
+    assert got == [("abstract", "paragraph", "Short summary."), ("results_and_discussion", "paragraph", "One two three."), ("results_and_discussion", "figure_caption", "Fig 1 A caption."), ("results_and_discussion", "paragraph", "Four.")]
+    df = spark.createDataFrame([("p", xml), ("q", "<broken"), ("r", None)], "paper_id string, xml string")
+    assert markup.article_blocks(df).count() == 4
+    entry = '<e xmlns="u"><residue><crossRefDb dbSource="PDB" dbChainId="A" dbResNum="12B"/><crossRefDb dbSource="UniProt" dbAccessionId="P1" dbResNum="7"/></residue><residue><crossRefDb dbSource="PDB" dbChainId="A" dbResNum="null"/><crossRefDb dbSource="UniProt" dbAccessionId="P1" dbResNum="8"/></residue></e>'
+    assert [tuple(r)[1:] for r in markup.residue_maps(spark.createDataFrame([("e", entry)], "entry string, xml string")).collect()] == [("A", 12, "B", "P1", 7)]
+
+
+def test_runs_and_metadata(spark, tmp_path):
+    folder = str(tmp_path / "run")
+    assert sinks.bind_run(folder, {"a": 1}) == sinks.bind_run(folder, {"a": 1})
+    with pytest.raises(ValueError):
+        sinks.bind_run(folder, {"a": 2})
+    path = str(tmp_path / "m")
+    sinks.with_metadata(spark.range(3), {"id": {"unit": "row"}}).write.parquet(path)
+    assert spark.read.parquet(path).schema["id"].metadata == {"unit": "row"}
+    assert readers.latest_version([sinks.dated_name("t_", "2026-01-02", ".csv"), sinks.dated_name("t_", "2025-01-02", ".csv")], "t_", ".csv") == "t_2026-01-02.csv"
+    assert readers.feature_files([path], spark) and all(x.endswith(".parquet") for x in readers.feature_files([path], spark))
+
+
+def test_tables_of_entries(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("# 2026\nPDB,CHAIN,SP_PRIMARY,RES_BEG\n1ABC,A,P1,1\n")
+    assert [tuple(r) for r in readers.chain_map(spark, str(tmp_path / "c.csv")).collect()] == [("1abc", "A", "P1", "1")]
+    (tmp_path / "d.csv").write_text("entry_id,release_date\n1ABC,2020-02-03\n2XYZ,?\n")
+    assert {r.entry: str(r.release_date) for r in readers.release_dates(spark, str(tmp_path / "d.csv")).collect()} == {"1abc": "2020-02-03", "2xyz": "None"}
+    import gzip
+
+    for n, text in (("w1.csv.gz", "pdb_id,area\n1ABC,5.0\n"), ("w2.csv.gz", "pdb_id,area\n"), ("w3.csv.gz", "")):
+        with gzip.open(tmp_path / n, "wt") as f:
+            f.write(text)
+    assert [tuple(r) for r in readers.interfaces(spark, str(tmp_path / "w*.csv.gz"), "pdb_id string, area double").collect()] == [("1abc", 5.0)]
+    spark.createDataFrame([("p", "x"), ("q", "y")], "paper_id string, text string").write.parquet(str(tmp_path / "t"))
+    assert readers.texts_of(spark, str(tmp_path / "t"), spark.createDataFrame([("q",), ("q",)], "paper_id string")).count() == 1

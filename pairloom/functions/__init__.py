@@ -52,13 +52,13 @@ GREEK = {
 
 
 #: What full case folding writes with several letters (Java's upper case does so too, but not for all).
-FOLDED = {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+FOLDED = {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ſ": "s"}
 
 
 def name_key(c: Column | str) -> Column:
     """A written name as a key: trimmed, case folded, Greek letters spelled, only a-z and 0-9 kept.
 
-    Folding is lower case of upper case, as that joins the long s with its letter, and final sigma as sigma; of what case folding
+    Folding is lower case of upper case, with final sigma as sigma; of what case folding
     writes with several letters, sharp s and the ligatures have any in a-z.
     """
     out = F.lower(F.upper(F.trim(F.col(c) if isinstance(c, str) else c)))

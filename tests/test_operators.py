@@ -171,3 +171,17 @@ def test_sampled_arms(spark):
     got = {(r.reference, r.type): r for r in matching.sampled_arms(assigned, wanted, offered).collect()}
     assert set(got) == {("T", "positive"), ("T", "negative")} and got["T", "positive"].difference == 1.0
     assert matching.arm(spark.createDataFrame([("T", 3)], "target string, n int"), wanted, "leaked").count() == 2
+
+
+def test_ks_distance_by_ranges(spark):
+    rng = np.random.default_rng(5)
+    rows = [(float(x), bool(f)) for x, f in zip(rng.normal(size=3000).round(2), rng.random(3000) < 0.3)]
+    df = spark.createDataFrame([*rows, (None, True)], "x double, f boolean")
+    first, second = (np.sort([x for x, f in rows if f == side]) for side in (True, False))
+    at = np.unique([x for x, _ in rows])
+    want = np.abs(np.searchsorted(first, at, "right") / len(first) - np.searchsorted(second, at, "right") / len(second)).max()
+    for ranges in (2, 256):
+        got = matching.ks_distance(df, "x", "f", ranges).first()
+        assert abs(got.d - want) < 1e-12 and (got.n_first, got.n_second) == (len(first), len(second))
+    assert tuple(matching.ks_distance(df.limit(0), "x", "f").first()) == (None, 0, 0)
+    assert matching.ks_distance(df.where("f"), "x", "f").first().d is None

@@ -243,3 +243,18 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     row = F.struct(*(F.col(c) for c in rest))
     one = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct("text", F.xxhash64(*rest))).alias("row")).select("doc_id", "row.*")
     return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
+
+
+#: Exact similarities of all pairs that share a shingle, then components, for near_duplicates at 85 percent.
+ORACLE = """with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') as w from documents),
+    s as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as shingle from w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as r(i) where len(w) > 0),
+    sizes as (select doc_id, count(*) as n from s group by doc_id),
+    classes as (select doc_id, min(doc_id) over (partition by md5(string_agg(shingle, chr(10) order by shingle))) as rep from s group by doc_id),
+    rs as (select s.* from s join classes using (doc_id) where doc_id = rep),
+    common as (select a.doc_id as u, b.doc_id as v, count(*) as shared from rs a join rs b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+    links as (select u, v from common join sizes x on x.doc_id = u join sizes y on y.doc_id = v where 100 * shared >= 85 * (x.n + y.n - shared)),
+    ends as (select u, v from links union all select v, u from links),
+    reach as (select rep as node, rep as least from classes where doc_id = rep union select v, least from reach join ends on u = node where least < v),
+    found as (select node, min(least) as least from reach group by node)
+    select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(least, d.doc_id) as component_id, coalesce(least, d.doc_id) = d.doc_id as kept
+    from documents d left join sizes using (doc_id) left join classes using (doc_id) left join found on node = rep"""

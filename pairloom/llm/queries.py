@@ -74,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_personal_data": op10_personal_data,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op3_suffix_dedup": suffix_dedup.ORACLE,
     "op5_hamming_top_k": hamming.ORACLE,
     "op7_secret_scan": secrets.oracle(),
+    "op8_near_dedup": near_dedup.ORACLE,
 }

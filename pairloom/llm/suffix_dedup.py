@@ -323,3 +323,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
     return docs.sparkSession.createDataFrame(texts.beside(judged, masks).flatMap(rows), schema, verifySchema=False)
+
+
+#: Every 50-byte string of every document, in hexadecimal.
+ORACLE = """with h as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+    starts as (select doc_id, p, substr(h, 2 * p - 1, 100) as s from h, unnest(range(1, length(h) // 2 - 48)) as r(p)),
+    firsts as (select s, min(doc_id) as least from starts group by s having count(*) > 1),
+    hit as (select doc_id, p, lag(p) over w as before, lead(p) over w as after from starts join firsts using (s) where least < doc_id window w as (partition by doc_id order by p)),
+    runs as (select doc_id, p as a, lag(p) over (partition by doc_id order by p) as prior from hit where before is null or p - before > 50),
+    stops as (select doc_id, p + 50 as z from hit where after is null or after - p > 50),
+    removed as (select doc_id, sum(least(50, coalesce(after - p, 50))) as n_removed from hit group by doc_id),
+    edges as (select doc_id, 1 as edge, true as opens from h union all select doc_id, z, true from stops union all select doc_id, a, false from runs union all select doc_id, length(h) // 2 + 1, false from h),
+    pieces as (select doc_id, edge as a, lead(edge) over (partition by doc_id order by edge, opens desc) as z, opens from edges),
+    kept as (select doc_id, string_agg(substr(h, 2 * a - 1, 2 * (z - a)), '' order by a) as k from pieces join h using (doc_id) where opens and z is not null group by doc_id)
+    select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n, 0) as n_spans, sha256(unhex(coalesce(k, ''))) as kept_sha256
+    from h left join removed using (doc_id) left join (select doc_id, count(*) as n from runs group by doc_id) using (doc_id) left join kept using (doc_id)"""

@@ -57,6 +57,10 @@ def test_near_duplicates(docs, texts):
         assert got == brute.near(texts, percent)
 
 
+def test_near_duplicates_match_their_sql(spark, small):
+    oracle.same(queries.op8_near_dedup(spark, small), oracle.connect(small), near_dedup.ORACLE)
+
+
 def test_near_duplicates_that_chain(spark):
     r = random.Random(6)
     base = [f"w{i}" for i in range(120)]
@@ -130,6 +134,10 @@ def test_removed_repeats(docs, texts):
     assert got == brute.repeats(texts)
 
 
+def test_removed_repeats_match_their_sql(spark, small):
+    oracle.same(queries.op3_suffix_dedup(spark, small), oracle.connect(small), suffix_dedup.ORACLE)
+
+
 def test_removed_repeats_with_many_surroundings(spark):
     r = random.Random(8)
     shared = "".join(r.choice("abcd ") for _ in range(140))

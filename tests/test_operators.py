@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import cues, names
 from pairloom import functions as E
-from pairloom.operators import assemble, leakage, logs, matching, pairs, scoring, texts
+from pairloom.operators import assemble, leakage, logs, matching, pairs, scoring, structure, texts
 
 
 def rows(df, *columns):
@@ -185,3 +185,18 @@ def test_ks_distance_by_ranges(spark):
         assert abs(got.d - want) < 1e-12 and (got.n_first, got.n_second) == (len(first), len(second))
     assert tuple(matching.ks_distance(df.limit(0), "x", "f").first()) == (None, 0, 0)
     assert matching.ks_distance(df.where("f"), "x", "f").first().d is None
+
+
+def test_least_distances_of_large_and_small_chains(spark):
+    r = np.random.default_rng(3)
+    sizes = {("e", "a"): 400, ("e", "b"): 300, ("e", "c"): 5, ("e", "d"): 1, ("e", "flat"): 90, ("f", "a"): 64, ("f", "b"): 65, ("g", "a"): 2, ("g", "b"): 1, ("h", "a"): 70}
+    points = {k: r.normal(10 * i, 15, (n, 3)) for i, (k, n) in enumerate(sizes.items())}
+    points["e", "flat"][:, 2] = 7.0
+    points["g", "b"][0] = points["g", "a"][1]
+    rows = [(e, c, *map(float, p), 1) for (e, c), x in points.items() for p in x]
+    odd = [("e", "a", None, 0.0, 0.0, 1), ("e", "b", float("nan"), 10.0, 10.0, 1), (None, "a", 0.0, 0.0, 0.0, 1), ("e", None, 0.0, 0.0, 0.0, 1), ("e", "none", None, None, None, 1)]
+    df = spark.createDataFrame(rows + odd + rows[:50], "entry string, chain string, x double, y double, z double, n int")
+    got = {(x.entry, x.chain_a, x.chain_b): x.distance for x in structure.min_distances(df).collect()}
+    want = {(e, c, d): np.sqrt(((points[e, c][:, None] - points[f, d][None]) ** 2).sum(2)).min() for e, c in points for f, d in points if e == f and c < d}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert structure.min_distances(df.limit(0)).count() == 0

@@ -24,13 +24,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None, using: list[str] | None = None):
+def query(sql: str | None = None, using: list[str] | None = None, recursive: bool = False):
     """Registers a query under its function's name; sql runs on the views in `using`."""
 
     def register(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLE_SQL[f.__name__] = (f"with {', '.join(using)} " if using else "") + sql
+            ORACLE_SQL[f.__name__] = (f"with {'recursive ' if recursive else ''}{', '.join(using)} " if using else "") + sql
         return f
 
     return register
@@ -616,6 +616,18 @@ def match_partners_1d(spark, d):
     return M.match_partners(rows.where("sources = 'a'").select("target", "partner", "size"), rows.where("sources = 'b'").select("target", "partner", "size"))
 
 
+SIDES = """sides as (select target, list_sort(list(combined) filter (sources = 'a')) as a, list_sort(list(combined) filter (sources = 'b')) as b from sized where combined <= 1420 and sources in ('a', 'b') group by target
+    having count(*) filter (sources = 'a') > 0 and count(*) filter (sources = 'b') > 0)"""
+LADDER = """ladder as (select target, 0 as i, case when len(a) <= len(b) then a else b end as s, case when len(a) <= len(b) then b else a end as l, list_transform(range(0, greatest(len(a), len(b)) + 1), lambda j: 0.0::double) as f from sides
+    union all select target, i + 1, s, l, list_transform(range(0, len(l) + 1), lambda j: case when j = 0 then 1e18::double else list_min(list_transform(range(1, j + 1), lambda t: f[t] + abs(s[i + 1] - l[t]))) end) from ladder where i < len(s))"""
+
+
+@query("select target, cast(i as bigint) as n_matched, f[len(l) + 1] as cost from ladder where i = len(s)", [*V.ASSEMBLED, LENGTHS, SIZED, SIDES, LADDER], recursive=True)
+def match_partners_cost(spark, d):
+    """The least total difference of each target's matching; the SQL finds it by dynamic programming over sorted sizes."""
+    return match_partners_1d(spark, d).groupBy("target").agg(F.count("*").alias("n_matched"), F.sum("difference").alias("cost"))
+
+
 def _targets(spark, d, kind, least):
     return _sized(spark, d).where(f"type = '{kind}' and combined is not null").groupBy("target").agg(F.percentile("combined", 0.5).alias("size"), F.count("*").alias("n")).where(f"n >= {least}")
 
@@ -626,6 +638,21 @@ def match_global_assignment(spark, d):
     return M.assign_targets(_targets(spark, d, "negative", 8), _targets(spark, d, "positive", 40))
 
 
+ARMS = "arms as (select target, count(*) filter (type = 'negative') >= 8 as r, count(*) filter (type = 'positive') >= 40 as c from sized where combined is not null group by target)"
+
+
+@query(
+    """select 'paired' as mode, target as candidate, count(*) as n from arms where r and c group by target union all
+    select 'substituted', '', least(count(*) filter (r and not c), count(*) filter (c and not r)) as n from arms having n > 0""",
+    [*V.ASSEMBLED, LENGTHS, SIZED, ARMS],
+)
+def match_global_modes(spark, d):
+    """Which targets the global assignment pairs with themselves, and how many get a substitute of their own."""
+    found = match_global_assignment(spark, d)
+    paired = F.col("mode") == "paired"
+    return found.groupBy("mode", F.when(paired & (F.col("reference") == F.col("candidate")), F.col("candidate")).otherwise("").alias("candidate")).agg(F.count_distinct("candidate").alias("n"))
+
+
 @query("select target, type, count(*) as n_pairs, round(median(combined), 4) as median_length from sized group by target, type", [*V.ASSEMBLED, LENGTHS, SIZED])
 def match_report(spark, d):
     return reports.medians(_sized(spark, d), ["target", "type"], "combined").withColumn("median_length", F.round("median_length", 4))

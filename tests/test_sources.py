@@ -1,8 +1,11 @@
+import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from pairloom.sources import markup, readers, require_columns, sinks
+from pairloom.operators import structure
+from pairloom.sources import markup, readers, require_columns, sinks, structures
 
 
 def test_pair_files_and_lists(spark, tmp_path):
@@ -162,3 +165,24 @@ def test_tables_of_entries(spark, tmp_path):
     assert [tuple(r) for r in readers.interfaces(spark, str(tmp_path / "w*.csv.gz"), "pdb_id string, area double").collect()] == [("1abc", 5.0)]
     spark.createDataFrame([("p", "x"), ("q", "y")], "paper_id string, text string").write.parquet(str(tmp_path / "t"))
     assert readers.texts_of(spark, str(tmp_path / "t"), spark.createDataFrame([("q",), ("q",)], "paper_id string")).count() == 1
+
+
+def test_structures(spark, tmp_path):
+    line = "{:6}{:>5} {:^4}{:1}{:>3} {:1}{:>4}{:1}   {:8.3f}{:8.3f}{:8.3f}{:6.2f}".format
+    atoms = [
+        line("ATOM", 1, "CA", "", "ALA", "A", 5, "", 0, 0, 0, 1), line("ATOM", 2, "CB", "A", "ALA", "A", 5, "", 1, 0, 0, 0.4), line("ATOM", 3, "CB", "B", "ALA", "A", 5, "", 2, 0, 0, 0.6),
+        line("ATOM", 4, "CA", "", "GLY", "B", -1, "C", 2, 3, 4, 1), line("HETATM", 5, "CA", "", "CA", "B", 9, "", 2, 0, 0, 1),
+    ]
+    (tmp_path / "1ABC.pdb").write_text("\n".join(["HEADER", "MODEL        1", *atoms, "ENDMDL", "MODEL        2", line("ATOM", 1, "CB", "", "ALA", "C", 1, "", 0, 0, 0, 1), "ENDMDL"]))
+    fields = "group_PDB id label_atom_id label_alt_id label_comp_id label_asym_id label_seq_id pdbx_PDB_ins_code Cartn_x Cartn_y Cartn_z occupancy auth_seq_id auth_asym_id pdbx_PDB_model_num".split()
+    loop = ["data_2xyz", "loop_", *(f"_atom_site.{f} " for f in fields), "ATOM 1 \"CA\" . GLY A 1 ? 0.0 0.0 0.0 1.00 7 X 1", "ATOM 2 CB . LEU B 1 ? 0.0 6.0", "8.0 1.00 8 'Y' 1", "HETATM 3 O . HOH C . ? 1 1 1 1.00 9 Y 1", "#", "loop_", "_other.a", "1"]
+    (tmp_path / "2xyz.cif.gz").write_bytes(gzip.compress("\n".join(loop).encode()))
+    (tmp_path / "bad.pdb").write_text("ATOM  no numbers here at all, and a line that is long enough to be cut up")
+    (tmp_path / "cut.cif.gz").write_bytes(gzip.compress(b"x" * 1000)[:20])
+    (tmp_path / "empty.pdb").write_text("")
+    (tmp_path / "huge.pdb").write_text("\n".join(atoms * 20))
+    rows = structures.structures(spark, str(tmp_path), 4000)
+    assert {r.entry: r.n for r in rows.groupBy("entry").agg(F.count("*").alias("n")).collect()} == {"1abc": 6, "2xyz": 3}
+    points = structures.residue_points(rows)
+    assert sorted(tuple(r) for r in points.collect()) == [("1abc", "A", 2.0, 0.0, 0.0), ("1abc", "B", 2.0, 3.0, 4.0), ("2xyz", "X", 0.0, 0.0, 0.0), ("2xyz", "Y", 0.0, 6.0, 8.0)]
+    assert sorted(tuple(r) for r in structure.min_distances(points).collect()) == [("1abc", "A", "B", 5.0), ("2xyz", "X", "Y", 10.0)]

@@ -17,7 +17,7 @@ so only links become rows, and a bucket is dealt over several keys by its size.
 
 Frequent bands: their statistics are combined on the map side and then over SALTS keys, so that no task reads a row of every
 partition for one band. In the joins on bands and nodes a frequent key has one row on the other side; Spark's adaptive skew
-handling splits such keys.
+handling splits such keys. Frequent texts never meet in one task: their first documents are joined by digest and id, and their classes are broadcast.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ SHINGLE = 5
 SLOTS = 100
 #: 64-bit words of a parity sketch; keys that a frequent band's statistics go through; members of a bucket that are a key of their own.
 PARITY_WORDS, SALTS, GROUP = 8, 16, 512
+#: Texts that more than one in OFTEN documents share are at most OFTEN: their classes are broadcast.
+OFTEN = 1000
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -183,8 +185,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketch = cut(docs.mapInArrow(_sketch(rows_for(percent)), "doc_id long, n long, digest binary, bands array<long>, parity array<long>"))
     full = sketch.where("n > 0 and doc_id is not null")
     chosen = full.groupBy("doc_id").agg(F.min("digest").alias("digest"))
-    same = chosen.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = full.join(same, "digest").where("doc_id = rep").select("rep", "n", "bands", "parity").dropDuplicates(["rep"])
+    same = chosen.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    reps = full.join(same.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"]).select(F.col("doc_id").alias("rep"), "n", "bands", "parity").dropDuplicates(["rep"])
     postings = reps.select("rep", "n", F.explode("bands").alias("band"))
     members = cut(postings.join(_pivots(postings), "band"))
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -195,8 +197,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = connected_components(links)
     more = _between(members, found, sets, reps.select("rep", "parity"), percent)
     final = connected_components(links.unionByName(more))
-    class_of = same.join(final, same.rep == final.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    linked = full.select("doc_id", F.col("n").alias("n_shingles")).join(chosen.join(class_of, "digest").select("doc_id", "component_id"), "doc_id")
+    often = F.col("copies") * OFTEN > chosen.agg(F.count("*")).scalar()
+    class_of = lambda texts: texts.join(final, texts.rep == final.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    frequent = same.where(often)
+    rare = chosen.join(F.broadcast(frequent.select("digest")), "digest", "left_anti").join(class_of(same.where(~often)), "digest")
+    classes = chosen.join(F.broadcast(class_of(frequent)), "digest").unionByName(rare)
+    linked = full.select("doc_id", F.col("n").alias("n_shingles")).join(classes.select("doc_id", "component_id"), "doc_id")
     alone = sketch.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

@@ -250,3 +250,11 @@ def test_assigned_targets_cost_the_least(spark):
             matrix = np.array([[cost(x[1:], y[1:]) for y in b] for x in a])
             matrix = matrix if len(a) <= len(b) else matrix.T
             assert sum(cost(of[x], of[y]) for x, y in subs) == matrix[np.arange(len(matrix)), matching.hungarian(matrix)].sum()
+
+
+def test_assignment_of_many_targets(spark):
+    """A matrix of all references by all candidates would take 3.2 GB here."""
+    many = lambda name, k, n: spark.range(k).selectExpr(f"'{name}' || id as target", "cast(id % 150 as double) * 5 as size", f"cast({n} as long) as n")
+    found = matching.assign_targets(many("r", 10_000, "id % 23"), many("c", 40_000, "40 + id % 31"))
+    gap = found.selectExpr("abs(cast(substr(reference, 2) as int) % 150 - cast(substr(candidate, 2) as int) % 150) as gap", "reference", "candidate")
+    assert tuple(gap.agg(F.count("*"), F.max("gap"), F.count_distinct("reference"), F.count_distinct("candidate")).first()) == (10_000, 0, 10_000, 10_000)

@@ -19,14 +19,12 @@ tokens, so at most four times the buckets.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._exchange import Texts, answer, ask, by_bucket, counts, filled, planes, statistics
+from ._exchange import Texts, answer, ask, by_bucket, counts, filled, kinds, planes, squeeze, statistics, unsqueeze
 from ._text import LOWER, U64, crc32_of_ids, flat, mix, owner, prefix_hashes, range_hashes, words
 
 END, START = b" ", b"\t"  # no word holds a space
@@ -44,7 +42,7 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def distinct_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(one string of each kind, kind of each string); equal hashes are verified on the bytes, strings that differ get kinds of their own."""
-    _, one, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    one, kind = kinds(hashes >> U64(len(hashes).bit_length() + 1))
     first, size = starts[one][kind], ends - starts
     odd = size != (ends - starts)[one][kind]
     same = np.flatnonzero(~odd & (first != starts))
@@ -103,7 +101,7 @@ class Tokens:
         raw = np.concatenate((data[_spread(starts[one], size)], np.frombuffer(END + START, np.uint8)))
         size = np.append(size, (1, 1))
         self.lengths = planes(size[order])
-        self.strings = zlib.compress(raw[_spread((np.cumsum(size) - size)[order], size[order])].tobytes(), 1)
+        self.strings = squeeze(raw[_spread((np.cumsum(size) - size)[order], size[order])].tobytes())
         self.tokens = planes(rank[tokens])
         self.first = first + np.arange(n + 1)
 
@@ -120,8 +118,9 @@ class Tokens:
 
 def _strings(packed: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, starts, ends, hashes) of (lengths, strings) lists."""
-    size = np.concatenate([counts(x) for x, _ in packed])
-    data = np.frombuffer(b"".join(zlib.decompress(raw) for _, raw in packed), np.uint8)
+    sizes = [counts(x) for x, _ in packed]
+    size = np.concatenate(sizes)
+    data = np.frombuffer(b"".join(unsqueeze(raw, int(n.sum())) for n, (_, raw) in zip(sizes, packed)), np.uint8)
     ends = np.cumsum(size)
     return data, ends - size, ends, mix(range_hashes(prefix_hashes(data), ends - size, ends))
 
@@ -138,7 +137,7 @@ def ask_words(buckets: int):
         for bucket, a, b in filled(cut):
             own = order[a:b]
             size = (ends - starts)[own]
-            yield bucket, (planes(size), zlib.compress(data[_spread(starts[own], size)].tobytes(), 1), planes(times[own]))
+            yield bucket, (planes(size), squeeze(data[_spread(starts[own], size)].tobytes()), planes(times[own]))
 
     return question
 
@@ -197,7 +196,9 @@ class Numbered:
         self.often = self.count >= hot
         d = len(order)
         mine = np.flatnonzero(self.often[self.before])
-        pair, of = np.unique(self.before[mine] * d + self.tokens[mine], return_inverse=True)
+        pairs = self.before[mine] * d + self.tokens[mine]
+        one, of = kinds(pairs)
+        pair = pairs[one]
         self.pair_key, self.pair_h, self.pair_w = pair, pair // d, pair % d
         self.pair_times = np.bincount(of, weights=self.trained[mine], minlength=len(pair)).astype(np.int64)
         bucket = ((self.spot[self.pair_h] >> U64(8)) + self.spot[self.pair_w] % self.parts[self.pair_h]) % U64(buckets)
@@ -216,14 +217,13 @@ class Trigrams(Numbered):
         second = first[:-1] + 1
         h1[second[second < first[1:]]] = self.start
         d = len(self.number)
-        if d < 1 << 21:
-            key, which = np.unique((h2 * d + h1) * d + self.tokens, return_inverse=True)
-            self.h2, self.h1, self.w = key // (d * d), key // d % d, key % d
-        else:
-            history, of = np.unique(h2 * d + h1, return_inverse=True)
-            key, which = np.unique(of * d + self.tokens, return_inverse=True)
-            self.h2, self.h1, self.w = history[key // d] // d, history[key // d] % d, key % d
-        del h1, h2, key
+        one, of = kinds(h2 * d + h1)
+        h1, h2 = h1[one], h2[one]
+        key = of * d + self.tokens
+        one, which = kinds(key)
+        of, self.w = np.divmod(key[one], d)
+        self.h2, self.h1 = h2[of], h1[of]
+        del h1, h2, key, of
         self.times = np.bincount(which, weights=self.trained, minlength=len(self.w)).astype(np.int64)
         bucket = ((self.spot[self.h2] >> U64(8)) + self.spot[self.h1] % self.parts[self.h2]) % U64(buckets)
         order, self.cut = by_bucket(bucket.astype(np.int64), buckets)
@@ -262,7 +262,7 @@ def _keys(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
         a_, b_ = (np.unique(x, return_inverse=True)[1] for x in (a, b))
     else:
         a_, b_ = a, b
-    _, one, kind = np.unique(a_ * (int(b_.max()) + 1 if len(b_) else 1) + b_, return_index=True, return_inverse=True)
+    one, kind = kinds(a_ * (int(b_.max()) + 1 if len(b_) else 1) + b_)
     return one, kind, a[one]
 
 
@@ -323,8 +323,10 @@ class Table:
         del history, h1
         self.total = np.bincount(self.asked, weights=times, minlength=len(first)).astype(np.int64)
         self.cw = cw[first]
-        mine = self.h2[self.history]
-        one, self.pair, self.pair_h = _keys(mine, w[first])
+        new = np.ones(len(self.h2), bool)
+        new[1:] = self.h2[1:] != self.h2[:-1]
+        self.words, self.of = self.h2[new], np.cumsum(new) - 1  # the distinct h2, ascending, and each history's
+        one, self.pair, self.pair_of = _keys(self.of[self.history], w[first])
         self.pair_total = np.bincount(self.pair, weights=self.total, minlength=len(one)).astype(np.int64)
         self.pair_cw, self.pair_split = self.cw[one], self.split[self.history[one]]
         self.pair_count = np.where(self.split[self.history], pair[first], self.pair_total[self.pair])
@@ -377,8 +379,7 @@ class Model:
     def evaluate(self, t: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(probability of each distinct trigram, divisor and count of each history)."""
         # of h2 alone
-        words_, of = np.unique(t.h2, return_inverse=True)
-        pair_of = np.searchsorted(words_, t.pair_h)
+        words_, of, pair_of = t.words, t.of, t.pair_of
         by = lambda place, weights, n: np.bincount(place, weights=weights, minlength=n)
         kept, lower = by(pair_of, _discounted(t.pair_total, self.pairs), len(words_)), by(pair_of, np.where(t.pair_total > 0, self.unigram(t.pair_cw), 0.0), len(words_))
         divisor, alpha = _left(kept, lower, by(pair_of, t.pair_total, len(words_)))

@@ -545,3 +545,21 @@ def test_contamination_is_what_exhaustive_search_finds(spark):
         got = {(x.doc_id, x.item_id): x.common for x in decontaminate.contaminated(docs, bench, answer="reply", block=block).collect()}
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
     assert len(want) > 30
+
+
+def test_exchange_packs_numbers_and_finds_kinds():
+    import numpy as np
+
+    from pairloom.llm import _exchange
+
+    r = np.random.default_rng(8)
+    for top, n in ((1, 5), (200, 1000), (1 << 16, 999), (1 << 33, 500), ((1 << 62) + 5, 300), (3, 0)):
+        x = r.integers(0, top, n)
+        assert (_exchange.counts(_exchange.planes(x)) == x).all() and _exchange.planes(x)[0] == n
+        one, kind = _exchange.kinds(x)
+        values, want = np.unique(x, return_inverse=True)
+        assert (x[one] == values).all() and (kind == want).all()
+    assert _exchange.planes(np.arange(200))[1] == 1 and _exchange.planes(np.array([1 << 17]))[1] == 3  # planes of zeros are not sent
+    hashes = r.integers(0, 1 << 63, 50).astype(np.uint64) * np.uint64(2)
+    one, kind = _exchange.kinds(np.repeat(hashes, 3))
+    assert (np.repeat(hashes, 3)[one][kind] == np.repeat(hashes, 3)).all() and len(one) == 50

@@ -57,7 +57,7 @@ def test_assignment_costs_are_least(spark, small):
     assert checked > 5
 
 
-@pytest.mark.parametrize("name", ["score_min_count"])
+@pytest.mark.parametrize("name", ["score_npmi_table", "score_symmetrise", "score_min_count", "score_topk_features"])
 def test_components_at_the_bound_and_unknown_residues(spark, tmp_path, name):
     """The float nearest to 0.15 is not above 0.15 for SQL, and a null vec_id is no residue."""
     import duckdb

@@ -71,6 +71,12 @@ def _find(vocabulary: np.ndarray, bits: np.ndarray, hashes: np.ndarray) -> tuple
     return maybe[right], at[right]
 
 
+def _distinct(key: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; sorts in place."""
+    key.sort()
+    return key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+
+
 class Index:
     """Inverted index of word lists: for each word the lists that hold it, with its occurrences there."""
 
@@ -81,18 +87,23 @@ class Index:
         key, count = np.unique(number * width + np.repeat(np.arange(len(lists)), [len(x) for x in lists]), return_counts=True)
         self.item, self.count = key % width, count.astype(float)
         self.first = np.searchsorted(key // width, np.arange(len(self.vocabulary) + 1))
-        self.bits = np.zeros(1 << 20, bool)
-        self.bits[(self.vocabulary >> U64(44)).astype(np.int64)] = True
 
-    def counts(self, hashes: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
-        """For each text (its words from first on) and each of n lists, text by text: the list's occurrences of words of the text."""
-        at, word = _find(self.vocabulary, self.bits, hashes)
+    def among(self, words: np.ndarray) -> Index:
+        """From now on, words are numbers in `words` (sorted, with all of the lists' words)."""
+        self.own = np.full(len(words), -1)
+        self.own[np.searchsorted(words, self.vocabulary)] = np.arange(len(self.vocabulary))
+        return self
+
+    def counts(self, text: np.ndarray, number: np.ndarray, texts: int, n: int) -> np.ndarray:
+        """For each text and each of n lists, text by text: the list's occurrences of words of the text; text, number: where each known word stands and which it is."""
+        word = self.own[number]
+        mine = np.flatnonzero(word >= 0)
         wide = max(1, len(self.vocabulary))
-        key = np.unique((np.searchsorted(first, at, "right") - 1) * wide + word)
+        key = _distinct(text[mine] * wide + word[mine])
         doc, word = key // wide, key % wide
         length = self.first[word + 1] - self.first[word] if len(word) else word
         take = np.arange(int(length.sum())) + np.repeat(self.first[word] - (np.cumsum(length) - length), length) if len(word) else word
-        return np.bincount(np.repeat(doc, length) * n + self.item[take], weights=self.count[take], minlength=(len(first) - 1) * n)
+        return np.bincount(np.repeat(doc, length) * n + self.item[take], weights=self.count[take], minlength=texts * n)
 
 
 class Items:
@@ -137,14 +148,13 @@ class Items:
             rare.append(w[np.isin(at, own[: np.searchsorted(np.cumsum(n), LEXICAL * len(w)) + 1])])
         self.held, self.index = np.array([len(w) for w in rare], float), Index(rare)
 
-    def lexical(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, bool]]:
-        """(text, item, whether the answer stands in the text) of every pair that the verification can accept; first: where texts (here, sections) begin."""
+    def lexical(self, text: np.ndarray, number: np.ndarray, texts: int) -> Iterator[tuple[int, int, bool]]:
+        """(text, item, whether the answer stands in the text) of every pair that the verification can accept; text: that of each known word, ascending (here, sections)."""
         n, step = len(self.size), max(1, CELLS // len(self.size))
         asked = np.array([len(x) or 1 for x in self.answers], float)
-        for low in range(0, len(first) - 1, step):
-            bounds = first[low : low + step + 1]
-            own = hashes[bounds[0] : bounds[-1]]
-            most, answers = (x.counts(own, bounds - bounds[0], n) for x in (self.index, self.answer_index))
+        for low in range(0, texts, step):
+            x, y = np.searchsorted(text, (low, low + step))
+            most, answers = (i.counts(text[x:y] - low, number[x:y], min(step, texts - low), n) for i in (self.index, self.answer_index))
             found = np.flatnonzero(most)
             i = found % n
             lacks, answer = self.held[i] - most[found], answers[found] / asked[i] >= ANSWER_SHARE
@@ -182,7 +192,13 @@ class Items:
             if not len(self.answers[i]):  # no answer column: the rarest words stand for it
                 known = self.known(np.unique(w))
                 self.answers[i] = self.vocabulary[known[np.argsort(-idf[known], kind="stable")[:ANSWER_WORDS]]]
-        self.answer_index = Index(self.answers)
+        told = np.unique(np.concatenate([self.all_words, *self.answers])) if self.answers else self.all_words
+        self.numbers = [np.searchsorted(told, w) for w in self.words]
+        self.all_words, self.all_bits = told, np.zeros(1 << 20, bool)
+        self.all_bits[(told >> U64(44)).astype(np.int64)] = True
+        self.index, self.answer_index = self.index.among(told), Index(self.answers).among(told)
+        self.number_of = np.full(len(told), -1)  # in the vocabulary of the space
+        self.number_of[np.searchsorted(told, self.vocabulary)] = np.arange(len(self.vocabulary))
         z = np.array(vectors, np.float32).reshape(len(item), space.shape[1])
         self.length = np.maximum(np.linalg.norm(z, axis=1), 1e-9)
         self.vectors = (z / self.length[:, None]).T
@@ -212,23 +228,27 @@ def _pairs_of(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, np.where(follows[a], a + 1, -1)
 
 
-def _stride_words(items: Items, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(stride, vocabulary number) of the known words, a word once in a stride, by stride."""
-    at, word = items.lookup(hashes)
-    wide = max(1, len(items.vocabulary))
-    key = np.unique((np.searchsorted(starts, at, "right") - 1) * wide + word)
+def _stride_words(at: np.ndarray, word: np.ndarray, starts: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """(stride, word number below wide) of the known words, which stand at `at`: a word once in a stride, by stride."""
+    key = _distinct((np.searchsorted(starts, at, "right") - 1) * wide + word)
     return key // wide, key % wide
 
 
-def _stride_sums(stride: np.ndarray, word: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
-    """Sum of the table's rows over the words of each of n strides."""
-    out = np.zeros((n, table.shape[1]), table.dtype)
-    if len(stride):
-        begin = np.flatnonzero(np.append(True, stride[1:] != stride[:-1]))
-        out[stride[begin]] = np.add.reduceat(table[word], begin, axis=0)
-    return out
+def _sums(rows: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """np.add.reduceat(rows, begin, axis=0) in whole rows, which it halves until each group has one; may change rows."""
+    size = np.diff(np.append(begin, len(rows)))
+    while len(size) and size.max() > 1:
+        place = np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size)
+        odd = np.flatnonzero(place & 1)
+        rows[odd - 1] += rows[odd]
+        rows, size = rows[place & 1 == 0], (size + 1) // 2
+    return rows
 
 
+def _stride_sums(stride: np.ndarray, word: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The strides with words, and the sum of the table's rows over the words of each."""
+    begin = np.flatnonzero(np.append(True, stride[1:] != stride[:-1])) if len(stride) else stride
+    return stride[begin], _sums(table[word], begin)
 
 
 def _count(sent):
@@ -240,7 +260,7 @@ def _count(sent):
             _, _, hashes, first = words(*flat(piece.column(1)))
             start, end, doc = _strides(first)
             a, b = _pairs_of(doc)
-            stride, word = _stride_words(items, hashes, start)
+            stride, word = _stride_words(*items.lookup(hashes), start, wide)
             within = np.zeros(len(start), np.int64)  # passages that a stride is part of
             within[a] += 1
             within[b[b >= 0]] += 1
@@ -271,22 +291,27 @@ def _product(sent, groups: int):
         for piece in chunks(batches):
             _, _, hashes, first = words(*flat(piece.column(1)))
             start, end, doc = _strides(first)
-            stride, word = _stride_words(items, hashes, start)
+            stride, word = _stride_words(*items.lookup(hashes), start, max(1, len(items.vocabulary)))
+            if not len(stride):
+                continue
             a, b = _pairs_of(doc)
-            sums = _stride_sums(stride, word, len(start), table)
+            mine, sums = _stride_sums(stride, word, table)
             square = np.bincount(stride, weights=items.idf[word] ** 2, minlength=len(start))
-            y = sums[a]
-            y[b >= 0] += sums[b[b >= 0]]
             norm = square[a]
             norm[b >= 0] += square[b[b >= 0]]
-            y /= np.maximum(norm, 1e-9)[:, None]  # rows of A have length one, so the norm counts twice
-            back = np.zeros_like(sums)
-            back[a] += y
-            back[b[b >= 0]] += y[b >= 0]
+            # rows of A have length one, so the norm counts twice; by the first stride of each passage
+            ahead, alone = np.zeros(len(start) + 1, np.float32), np.zeros(len(start), np.float32)
+            ahead[a[b >= 0]] = 1 / np.maximum(norm[b >= 0], 1e-9)
+            alone[a[b < 0]] = 1 / np.maximum(norm[b < 0], 1e-9)
+            # a stride gets the sums of the passages it is part of: its own, and those of the strides beside it
+            back = sums * (ahead[mine] + ahead[mine - 1] + alone[mine])[:, None]
+            beside = np.flatnonzero(mine[1:] == mine[:-1] + 1)
+            share = ahead[mine[beside]][:, None]
+            back[beside] += share * sums[beside + 1]
+            back[beside + 1] += share * sums[beside]
             order = np.argsort(word, kind="stable")
-            if len(order):
-                grouped, begin = np.unique(word[order], return_index=True)
-                out[grouped] += np.add.reduceat(back[stride[order]], begin, axis=0)
+            grouped, begin = np.unique(word[order], return_index=True)
+            out[grouped] += _sums(back[np.searchsorted(mine, stride)[order]], begin)
         out *= weights[:, None]
         part = TaskContext.get().partitionId()
         seen = out.any(axis=1)
@@ -353,36 +378,46 @@ def _retrieve(sent, cosine: float):
         counted = [np.unique(w, return_counts=True) for w in items.numbers]
         local = np.full(len(items.all_words), -1)
         enough = REACH * items.length
+        fewest = max(1, math.ceil(SHARED * int(items.known_words.min())))
         reach = 2 * STRIDE + 2 * int(items.size.max())
         step = max(512, 2 * reach)
         for piece in chunks(batches):
             _, _, hashes, first = words(*flat(piece.column(1)))
             start, end, of = _strides(first)
-            stride, word = _stride_words(items, hashes, start)
-            sums = _stride_sums(stride, word, len(start), table)
+            place, number = _find(items.all_words, items.all_bits, hashes)
+            own = np.flatnonzero(items.number_of[number] >= 0)
+            stride, word = _stride_words(place[own], items.number_of[number[own]], start, max(1, len(items.vocabulary)))
+            mine, sums = _stride_sums(stride, word, table)
+            sums = np.concatenate((sums, np.zeros((1, sums.shape[1]), sums.dtype)))
+            row = np.full(len(start) + 1, len(mine))  # of a stride's sum; without words (or at -1, without a stride), the last
+            row[mine] = np.arange(len(mine))
+            held = np.bincount(stride, minlength=len(start) + 1)
             a, b = _pairs_of(of)
-            z, doc = sums[a], of[a]
-            z[b >= 0] += sums[b[b >= 0]]
+            doc = of[a]
+            latent = lambda p: sums[row[a[p]]] + sums[row[b[p]]]
             begins, ends = start[a], end[np.where(b >= 0, b, a)]
-            norm = np.linalg.norm(z, axis=1)
-            least = np.maximum(cosine * norm, 1e-9)
+            full = np.flatnonzero(held[a] + held[b] >= fewest)  # the others share too few words with any item
             text, low, high = _sections(first, step, reach)
             section_of = np.searchsorted(text, np.arange(len(first)))  # a text's first section
             many = np.diff(section_of) > 1
             wanted: dict[tuple[int, int], bool] = {}  # (section, item): whether the answer may stand there
-            for at in range(0, len(a), 4096):
-                near = z[at : at + 4096] @ items.vectors  # how far the passage reaches along the item
-                p, q = np.divmod(np.flatnonzero(near >= np.maximum(least[at : at + 4096, None], enough)), near.shape[1])
-                both = items.shared(q, a[at + p], stride, word) + np.where(b[at + p] >= 0, items.shared(q, b[at + p], stride, word), 0)
+            for at in range(0, len(full), 4096):
+                z = latent(full[at : at + 4096])
+                least = np.maximum(cosine * np.linalg.norm(z, axis=1), 1e-9)
+                near = z @ items.vectors  # how far the passage reaches along the item
+                p, q = np.divmod(np.flatnonzero(near >= np.maximum(least[:, None], enough)), near.shape[1])
+                p = full[at + p]
+                both = items.shared(q, a[p], stride, word) + np.where(b[p] >= 0, items.shared(q, b[p], stride, word), 0)
                 real = both >= SHARED * items.known_words[q]
-                p, q = at + p[real], items.item_of[q[real]]
+                p, q = p[real], items.item_of[q[real]]
                 begin = np.maximum(begins[p] - items.size[q] - first[doc[p]], 0)
                 wanted.update(dict.fromkeys(zip((section_of[doc[p]] + np.where(many[doc[p]], begin // step, 0)).tolist(), q.tolist()), True))
-            inside = np.arange(int((high - low).sum())) + np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low)
-            for k, i, answer in items.lexical(hashes[inside], np.concatenate(([0], np.cumsum(high - low)))):
+            spans = np.searchsorted(place, np.stack((low, high))).T
+            size = spans[:, 1] - spans[:, 0]
+            inside = np.arange(int(size.sum())) + np.repeat(spans[:, 0] - (np.cumsum(size) - size), size)
+            for k, i, answer in items.lexical(np.repeat(np.arange(len(size)), size), number[inside], len(size)):
                 wanted[k, i] = wanted.get((k, i), False) or answer
-            place, number = _find(items.all_words, items.all_bits, hashes)
-            spans = np.searchsorted(place, np.stack((low, high))).T.tolist()
+            spans = spans.tolist()
             passages = np.searchsorted(doc, np.arange(len(first)))
             best: dict[tuple[int, int], tuple] = {}
             for k, i in sorted(wanted):
@@ -418,7 +453,8 @@ def _retrieve(sent, cosine: float):
                         best[d, i] = 0.0, common, answer
             for d, i in best:
                 rows = np.arange(passages[d], passages[d + 1])
-                near = (z[rows] @ items.vectors[:, items.item_of == i]).max(axis=1) / np.maximum(norm[rows], 1e-9)
+                z = latent(rows)
+                near = (z @ items.vectors[:, items.item_of == i]).max(axis=1) / np.maximum(np.linalg.norm(z, axis=1), 1e-9)
                 best[d, i] = float(near.max()), *best[d, i][1:]
             ids = piece.column(0).to_pylist()
             yield batch(_ROW, [ids[d] for d, _ in best], [i for _, i in best], *(list(x) for x in (zip(*best.values()) if best else ((), (), ()))))

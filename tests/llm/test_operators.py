@@ -563,3 +563,49 @@ def test_exchange_packs_numbers_and_finds_kinds():
     hashes = r.integers(0, 1 << 63, 50).astype(np.uint64) * np.uint64(2)
     one, kind = _exchange.kinds(np.repeat(hashes, 3))
     assert (np.repeat(hashes, 3)[one][kind] == np.repeat(hashes, 3)).all() and len(one) == 50
+
+
+def test_passage_products_touch_only_strides_with_known_words(monkeypatch):
+    """A'(A W) against the dense matrix of all passages; strides without known words get no row of sums."""
+    import numpy as np
+    import pyarrow as pa
+
+    D = decontaminate
+
+    r = np.random.default_rng(4)
+    texts = [" ".join(("k%d" % r.integers(60) if r.random() < share else "other") for _ in range(n)) for n, share in ((5, 1), (700, 0.02), (0, 1), (33, 0.5), (16, 0), (400, 0.3))]
+    items = D.Items([0, 1], [" ".join("k%d" % i for i in range(s, s + 30)) for s in (0, 30)], [None, None])
+    items.idf, items.space = r.random(len(items.vocabulary)) + 0.5, r.normal(size=(len(items.vocabulary), 5))
+    rows, made = [], []
+    for t in texts:
+        w = items.__class__([0], [t or "other"], [None]).words[0]
+        for a in range(0, max(1, len(w) - D.STRIDE), D.STRIDE):
+            row = np.zeros(len(items.vocabulary))
+            for x in (a, a + D.STRIDE):
+                row[np.unique(items.known(w[x : x + D.STRIDE]))] += 1
+            square = sum(float((items.idf[np.unique(items.known(w[x : x + D.STRIDE]))] ** 2).sum()) for x in (a, a + D.STRIDE))
+            rows.append(row * items.idf / max(square, 1e-9) ** 0.5)
+    monkeypatch.setattr(D, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("P", (), {"partitionId": lambda self: 0})())}))
+    stride_sums = D._stride_sums
+    monkeypatch.setattr(D, "_stride_sums", lambda *a: made.append(stride_sums(*a)) or made[-1])
+    docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    (part,) = D._product(type("S", (), {"value": items})(), 1)(iter([docs]))
+    got = np.zeros(items.space.shape)
+    got[np.frombuffer(part.column("words")[0].as_py(), np.int32)] = np.frombuffer(part.column("rows")[0].as_py(), np.float64).reshape(-1, 5)
+    A = np.array(rows)
+    assert np.allclose(got, A.T @ (A @ items.space), rtol=1e-4, atol=1e-4)
+    (strides, sums), everything = made[0], sum(-(-len(t.split()) // D.STRIDE) for t in texts)
+    assert len(strides) == len(sums) < everything - 10
+
+
+def test_groups_add_up_in_whole_rows():
+    import numpy as np
+
+    D = decontaminate
+
+    r = np.random.default_rng(6)
+    for most in (1, 2, 7, 300):
+        size = r.integers(1, most + 1, 40)
+        rows, begin = r.normal(size=(int(size.sum()), 6)), np.cumsum(size) - size
+        assert np.allclose(D._sums(rows.copy(), begin), np.add.reduceat(rows, begin, axis=0))
+    assert D._sums(np.zeros((0, 6)), np.zeros(0, np.int64)).shape == (0, 6)

@@ -15,10 +15,13 @@ CHUNK_BYTES = 1 << 20
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder, so that a lost executor costs no recomputation.
 
-    The folder is spark.checkpoint.dir; only in local mode, where it may be unset, a temporary one.
+    The folder is spark.checkpoint.dir; only in local mode, where it may be unset, a temporary one. The driver's garbage is
+    collected then: its heap else grows to its limit with the plans and tasks of earlier steps, whose shuffle files stay meanwhile.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -239,8 +239,10 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of docs, with all their columns, but one row of each class: that of its smallest doc_id.
 
     Rows with a null doc_id stay. Where several rows share a kept doc_id, one of them stays: the one with the least text (null first).
+    The ids that go are materialised, so that the joins that find them and the one that moves the texts are not one plan, whose
+    stages the driver would plan and run at once.
     """
-    gone = near_duplicates(docs, percent=percent).where("not kept").select("doc_id").distinct()
+    gone = cut(near_duplicates(docs, percent=percent).where("not kept").select("doc_id").distinct())
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     twice = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if twice.isEmpty():

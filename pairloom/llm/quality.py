@@ -25,6 +25,8 @@ from ._text import U64, flat, mix, owner, prefix_hashes, range_hashes, words
 SHAPES, WORDS = 1 << 13, 1 << 13
 BUCKETS = SHAPES + WORDS
 SAMPLE = 12000
+#: Features of the sample that a step of the fit takes at a time: what the driver holds besides the sample grows with it.
+BLOCK = 1 << 17
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[48:58], _CLASS[65:91], _CLASS[97:123], _CLASS[128:] = ord("0"), ord("A"), ord("a"), ord("a")
 
@@ -74,7 +76,9 @@ class CumulativeLink:
         self.w, self.thresholds = np.zeros(BUCKETS), np.linspace(-1, 1, grades - 1) if grades > 2 else np.zeros(grades - 1)
 
     def fit(self, doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarray) -> CumulativeLink:
+        """Integers and floats of any width; sums are of float64."""
         n = len(grade)
+        blocks = [slice(at, at + BLOCK) for at in range(0, len(doc), BLOCK)]
         if not n:
             return self
         # thresholds: the first, then logarithms of the steps between them
@@ -87,7 +91,9 @@ class CumulativeLink:
         for step in range(1, self.steps + 1):
             w, free = params[:BUCKETS], params[BUCKETS:]
             t = free[0] + np.concatenate(([0], np.cumsum(np.exp(free[1:]))))
-            z = np.bincount(doc, weights=w[bucket] * value, minlength=n)
+            z = np.zeros(n)
+            for b in blocks:
+                z += np.bincount(doc[b], weights=w[bucket[b]] * value[b], minlength=n)
             tail = np.ones((n, self.grades + 1))
             tail[:, 1:-1] = 1 / (1 + np.exp(-np.clip(z[:, None] - t, -30, 30)))
             tail[:, -1] = 0
@@ -96,7 +102,9 @@ class CumulativeLink:
             du, dl = upper * (1 - upper) / p, lower * (1 - lower) / p
             dz = (dl - du) / n
             g = np.empty_like(params)
-            g[:BUCKETS] = np.bincount(bucket, weights=dz[doc] * value, minlength=BUCKETS) + self.ridge * w
+            g[:BUCKETS] = self.ridge * w
+            for b in blocks:
+                g[:BUCKETS] += np.bincount(bucket[b], weights=dz[doc[b]] * value[b], minlength=BUCKETS)
             dt = np.array([(np.where(grade == j, du, 0) - np.where(grade == j - 1, dl, 0)).sum() / n for j in range(1, self.grades)])
             g[BUCKETS] = dt.sum()
             for k in range(1, self.grades - 1):
@@ -130,10 +138,14 @@ def fit(docs: DataFrame, ratings: DataFrame, target: str = "grade", grades: int
     model = CumulativeLink(grades)
     if not rows.num_rows:
         return model
-    lists = [pa.concat_arrays(rows.column(k).chunks) for k in ("buckets", "values")]
-    doc = np.repeat(np.arange(rows.num_rows), np.asarray(lists[0].value_lengths(), dtype=np.int64))
     grade = np.clip(np.asarray(rows.column("target"), dtype=np.int64), 0, grades - 1)
-    return model.fit(doc, np.asarray(lists[0].flatten(), dtype=np.int64), np.asarray(lists[1].flatten(), dtype=float), grade)
+    lengths = np.concatenate([np.asarray(x.value_lengths()) for x in rows.column("buckets").chunks])
+    # one column at a time leaves the table, so that the driver holds the sample about once
+    lists = []
+    for k in ("buckets", "values"):
+        lists.append(np.concatenate([np.asarray(x.flatten()) for x in rows.column(k).chunks]))
+        rows = rows.drop_columns(k)
+    return model.fit(np.repeat(np.arange(len(grade), dtype=np.int32), lengths), *lists, grade)
 
 
 _ROW = pa.schema([("doc_id", pa.int64()), ("expected_grade", pa.float64()), ("tail_probability", pa.float64())])

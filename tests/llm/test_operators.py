@@ -120,6 +120,13 @@ def test_one_row_of_each_class(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, spark.createDataFrame([rows[0], rows[3], rows[4], rows[6]], "doc_id long, text string, band string").collect()))
 
 
+def test_dropping_copies_is_a_small_plan(docs):
+    """The joins that find the copies are over before the texts are moved."""
+    got = near_dedup.keep_one(docs)
+    assert got.count() > 0
+    assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange") <= 4
+
+
 def test_near_duplicates_edges(edges, nothing):
     got = near_dedup.near_duplicates(edges).collect()
     assert len(got) == 12
@@ -455,6 +462,26 @@ def test_cumulative_link_reaches_the_greatest_likelihood():
     assert likelihood(m.w[0], m.thresholds) >= best - 1e-6
 
 
+def test_the_fit_holds_little_besides_its_sample(monkeypatch):
+    """On the driver a step's own arrays are bounded, and blocks change no result."""
+    import tracemalloc
+
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    n, most = 2000, 1_000_000
+    doc, bucket = np.sort(r.integers(0, n, most)).astype(np.int32), r.integers(0, quality.BUCKETS, most).astype(np.int32)
+    value, grade = r.random(most).astype(np.float32), r.integers(0, 3, n)
+    tracemalloc.start()
+    m = quality.CumulativeLink(3, steps=3).fit(doc, bucket, value, grade)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * most  # less than one float of each feature
+    monkeypatch.setattr(quality, "BLOCK", most)
+    whole = quality.CumulativeLink(3, steps=3).fit(doc.astype(np.int64), bucket.astype(np.int64), value.astype(float), grade)
+    assert np.allclose(m.w, whole.w, rtol=0, atol=1e-9) and np.allclose(m.thresholds, whole.thresholds)
+
+
 def test_machine_learns_a_pair():
     import numpy as np
 
